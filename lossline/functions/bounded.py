@@ -1,0 +1,15 @@
+"""Broadcasts that are allowed only after the row count has been checked."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, functions as F
+
+MAX_BROADCAST_ROWS = 100_000
+
+
+def broadcast_checked(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Hint a broadcast if the frame has at most max_rows rows, else leave it to a shuffled join.
+
+    The check reads at most max_rows + 1 rows, so its cost is bounded as well.
+    """
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
