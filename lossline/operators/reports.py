@@ -27,14 +27,31 @@ def rpt_loss_triangle(payments: DataFrame, max_dev: int = 5) -> DataFrame:
     """The triangle, one column per development year; cells without payments stay null.
 
     claim_count counts every claim paid in the accident year, also one paid only before it.
+    Payments are read once: they are summed per claim and development year first, which
+    reuses the partitioning of the join by claim, and one row of each claim carries its count.
     """
-    devs = list(range(max_dev + 1))
-    long = triangle_long(payments)
-    cells = long.groupBy("accident_year").pivot("development_year", devs).agg(F.max("cumulative_paid"))
-    cells = cells.select("accident_year", *[F.col(str(d)).alias(f"dev_year_{d}") for d in devs])
-    latest = long.groupBy("accident_year").agg(F.max("cumulative_paid").alias("latest_cumulative"))
-    claims = payments.groupBy("accident_year").agg(F.countDistinct("claim_id").alias("claim_count"))
-    return cells.join(latest, "accident_year").join(claims, "accident_year")
+    per_claim = payments.groupBy("claim_id", "accident_year", "development_year").agg(
+        F.sum("payment_amount").alias("paid")
+    )
+    first = F.row_number().over(Window.partitionBy("claim_id").orderBy("development_year")) == 1
+    by_cell = (
+        per_claim.withColumn("claims", first.cast("bigint"))
+        .groupBy("accident_year", "development_year")
+        .agg(F.sum("paid").alias("paid"), F.sum("claims").alias("claims"))
+    )
+    dev = F.col("development_year")
+    so_far = Window.partitionBy("accident_year").orderBy(dev).rowsBetween(Window.unboundedPreceding, 0)
+    cumulative = F.sum(F.when(dev >= 0, F.col("paid"))).over(so_far)
+    return (
+        by_cell.withColumn("cumulative", F.when(dev >= 0, cumulative))
+        .groupBy("accident_year")
+        .agg(
+            *[F.max(F.when(dev == d, F.col("cumulative"))).alias(f"dev_year_{d}") for d in range(max_dev + 1)],
+            F.max("cumulative").alias("latest_cumulative"),
+            F.sum("claims").alias("claim_count"),
+        )
+        .filter(F.col("latest_cumulative").isNotNull())
+    )
 
 
 def triangle_as_of(payments: DataFrame, valuations: DataFrame, max_dev: int = 5) -> DataFrame:

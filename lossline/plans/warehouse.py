@@ -73,12 +73,15 @@ def models_of(layer: str) -> list[str]:
 class Warehouse(Mapping):
     """Tables by name. Each is composed lazily, once; Catalyst sees through all layers."""
 
-    def __init__(self, tables: Mapping[str, DataFrame], cfg: Config | None = None):
+    def __init__(self, tables: Mapping[str, DataFrame | Callable[[], DataFrame]], cfg: Config | None = None):
         self.cfg = cfg or Config()
         self._tables = dict(tables)
 
     def __getitem__(self, name: str) -> DataFrame:
-        if name not in self._tables:
+        given = self._tables.get(name)
+        if callable(given):
+            self._tables[name] = given()
+        elif given is None:
             model = MODELS[name]
             inputs = [self[i] for i in model.inputs]
             self._tables[name] = model.build(*inputs, self.cfg) if model.uses_config else model.build(*inputs)

@@ -7,6 +7,7 @@ projection: nothing is sampled, and the work grows with the tables that are read
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -20,8 +21,6 @@ PROJECTION_CONFIG = Config(
     train_through_year=1997,
 )
 
-TABLES = ("orders", "lineitem", "customer", "nation", "events")
-
 
 def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -217,13 +216,16 @@ def motor_severity(orders: DataFrame) -> DataFrame:
     )
 
 
-def raw_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """All five raw tables of the warehouse, unread until an action asks for them."""
-    orders, lineitem, customer, nation = (load(spark, folder, t) for t in TABLES[:4])
+def raw_tables(spark: SparkSession, folder: str) -> dict[str, Callable[[], DataFrame]]:
+    """The five raw tables of the warehouse by name, each composed only when it is asked for."""
+
+    def of(build: Callable[..., DataFrame], *tables: str) -> Callable[[], DataFrame]:
+        return lambda: build(*[load(spark, folder, t) for t in tables])
+
     return {
-        "raw_policyholders": raw_policyholders(customer, nation),
-        "raw_policies": raw_policies(orders),
-        "raw_claims": raw_claims(orders),
-        "raw_claim_payments": raw_claim_payments(lineitem),
-        "raw_coverages": raw_coverages(orders),
+        "raw_policyholders": of(raw_policyholders, "customer", "nation"),
+        "raw_policies": of(raw_policies, "orders"),
+        "raw_claims": of(raw_claims, "orders"),
+        "raw_claim_payments": of(raw_claim_payments, "lineitem"),
+        "raw_coverages": of(raw_coverages, "orders"),
     }
