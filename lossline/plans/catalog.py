@@ -75,6 +75,7 @@ def _load() -> None:
     if not _QUERIES:
         from lossline.plans import (  # noqa: F401  (each registers its queries)
             queries_warehouse,
+            queries_pricing,
         )
 
 

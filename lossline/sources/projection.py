@@ -199,7 +199,7 @@ def motor_frequency(customer: DataFrame, nation: DataFrame, orders: DataFrame) -
         .select(
             key.alias("IDpol"),
             F.coalesce("claims", F.lit(0)).alias("ClaimNb"),
-            ((key % 100 + 1).cast("decimal(6,2)") / 100).cast("decimal(4,2)").alias("Exposure"),
+            ((key % 100 + 1).cast("double") / 100).alias("Exposure"),
             F.substring(F.lit("ABCDEF"), (F.col("c_nationkey") % 6 + 1).cast("int"), F.lit(1)).alias("Area"),
             (4 + key % 9).alias("VehPower"),
             (18 + key % 70).alias("DrivAge"),
