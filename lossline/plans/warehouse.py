@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lossline.config import Config
 from lossline.operators import features, intermediate, marts, reports, staging
+from lossline.session import materialise
 
 RAW = ("raw_policyholders", "raw_policies", "raw_claims", "raw_claim_payments", "raw_coverages")
 
@@ -19,6 +20,7 @@ class Model:
     inputs: tuple[str, ...]
     build: Callable[..., DataFrame]
     uses_config: bool = False
+    keep: tuple[str, ...] = ()  # tables the model reads several times: written before it is built
 
 
 MODELS: dict[str, Model] = {
@@ -50,7 +52,10 @@ MODELS: dict[str, Model] = {
         "features", ("dim_policy", "int_policy_exposure", "fct_claims"), features.feat_policy_experience, True
     ),
     "feat_risk_segments": Model(
-        "features", ("feat_policy_experience", "dim_policyholder"), features.feat_risk_segments
+        "features",
+        ("feat_policy_experience", "dim_policyholder"),
+        features.feat_risk_segments,
+        keep=("feat_policy_experience",),
     ),
     "feat_historical_benchmarks": Model(
         "features", ("rpt_claim_frequency",), features.feat_historical_benchmarks
@@ -60,6 +65,7 @@ MODELS: dict[str, Model] = {
         ("feat_policy_experience", "feat_risk_segments", "dim_policy", "feat_historical_benchmarks"),
         features.model_training_set,
         True,
+        keep=("fct_claims", "feat_policy_experience"),
     ),
 }
 
@@ -76,6 +82,7 @@ class Warehouse(Mapping):
     def __init__(self, tables: Mapping[str, DataFrame | Callable[[], DataFrame]], cfg: Config | None = None):
         self.cfg = cfg or Config()
         self._tables = dict(tables)
+        self._kept: set[str] = set()
 
     def __getitem__(self, name: str) -> DataFrame:
         given = self._tables.get(name)
@@ -83,10 +90,19 @@ class Warehouse(Mapping):
             self._tables[name] = given()
         elif given is None:
             model = MODELS[name]
+            for table in model.keep:
+                self.keep(table)
             inputs = [self[i] for i in model.inputs]
             self._tables[name] = model.build(*inputs, self.cfg) if model.uses_config else model.build(*inputs)
         return self._tables[name]
 
+    def keep(self, name: str) -> DataFrame:
+        """The table, written once to the shared folder for the passes that follow."""
+        if name not in self._kept:
+            self._tables[name] = materialise(self[name], name)
+            self._kept.add(name)
+        return self._tables[name]
+
     def __setitem__(self, name: str, table: DataFrame) -> None:
         self._tables[name] = table
 
