@@ -1,15 +1,19 @@
-"""Broadcasts that are allowed only after the row count has been checked."""
+"""Small tables: broadcast only after their row count has been checked."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-MAX_BROADCAST_ROWS = 100_000
+MAX_LOCAL_ROWS = 10_000
 
 
-def broadcast_checked(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast if the frame has at most max_rows rows, else leave it to a shuffled join.
+def broadcast_checked(df: DataFrame, max_rows: int = MAX_LOCAL_ROWS) -> DataFrame:
+    """A frame of at most max_rows rows as a local table to broadcast; a larger one unchanged.
 
-    The check reads at most max_rows + 1 rows, so its cost is bounded as well.
+    The check fetches at most max_rows + 1 rows, and a frame that passes is not computed
+    again. One that does not pass is left to a shuffled join.
     """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        return df
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))

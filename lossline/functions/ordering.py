@@ -49,7 +49,7 @@ def _number(df: DataFrame, key: str) -> Column:
 
 
 def _sketch(value: Column, ranges: int) -> Column:
-    shares = [i / ranges for i in range(1, ranges)]
+    shares = F.expr(f"array({', '.join(f'{i / ranges!r}D' for i in range(1, ranges))})")
     return F.percentile_approx(value, shares, max(10_000, 10 * ranges))
 
 
@@ -84,6 +84,10 @@ def range_cuts(df: DataFrame, keys: list[str], ranges: int | None = None) -> Cut
     return Cuts(tuple(keys), points, rows)
 
 
+def _literal(points: tuple[float, ...]) -> str:
+    return "array(" + ", ".join(f"double('{p!r}')" for p in points) + ")"
+
+
 def _position(value: Column, points: tuple[float, ...]) -> Column:
     """How many cut points are <= value, in about 2 * sqrt(n) comparisons."""
     n = len(points)
@@ -91,9 +95,9 @@ def _position(value: Column, points: tuple[float, ...]) -> Column:
         return F.lit(0)
     step = max(1, int(n**0.5))
     blocks = [points[i : i + step] for i in range(0, n, step)]
-    heads = F.array(*[F.lit(b[0]) for b in blocks])
+    heads = F.expr(_literal(tuple(b[0] for b in blocks)))
     block = F.size(F.filter(heads, lambda p: p <= value))
-    inside = F.array(*[F.array(*[F.lit(x) for x in b]) for b in blocks])
+    inside = F.expr("array(" + ", ".join(_literal(b) for b in blocks) + ")")
     chosen = F.element_at(inside, F.greatest(block, F.lit(1)))
     return F.when(block == 0, 0).otherwise((block - 1) * step + F.size(F.filter(chosen, lambda p: p <= value)))
 

@@ -222,13 +222,16 @@ MAX_CATEGORIES = 1_000
 
 def categories(df: DataFrame, columns: list[str]) -> dict[str, list[str]]:
     """Sorted distinct values of each column over the whole table; an error beyond MAX_CATEGORIES."""
-    found = {}
-    for name in columns:
-        values = df.select(name).filter(F.col(name).isNotNull()).distinct().limit(MAX_CATEGORIES + 1).collect()
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("value")) for c in columns]))
+    distinct = df.select(pairs.alias("p")).select("p.*").filter("value IS NOT NULL").distinct()
+    most = MAX_CATEGORIES * len(columns)
+    found: dict[str, list[str]] = {c: [] for c in columns}
+    for name, value in distinct.limit(most + 1).collect():
+        found[name].append(value)
+    for name, values in found.items():
         if len(values) > MAX_CATEGORIES:
             raise ValueError(f"{name} has more than {MAX_CATEGORIES} values: not a category")
-        found[name] = sorted(row[0] for row in values)
-    return found
+    return {name: sorted(values) for name, values in found.items()}
 
 
 def feat_one_hot(

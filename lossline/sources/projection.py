@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lossline.config import Config
 
@@ -26,162 +26,117 @@ def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def _money(value: Column, precision: int) -> Column:
-    return value.cast(f"decimal({precision},2)")
-
-
-def _priority_digit() -> Column:
-    return F.substring("o_orderpriority", 1, 1).cast("bigint")
-
-
-def _coverage(digit: Column, names: tuple[str, ...]) -> Column:
-    return F.element_at(F.array(*[F.lit(n) for n in names]), digit.cast("int"))
+DIGIT = "CAST(substring(o_orderpriority, 1, 1) AS BIGINT)"
 
 
 def raw_policies(orders: DataFrame) -> DataFrame:
-    policy = orders.groupBy("o_custkey", _priority_digit().alias("digit")).agg(
-        F.min(F.to_date("o_orderdate")).alias("effective_date"),
-        F.max("o_totalprice").alias("price"),
+    policy = orders.groupBy("o_custkey", F.expr(DIGIT).alias("digit")).agg(
+        F.min(F.to_date("o_orderdate")).alias("effective_date"), F.max("o_totalprice").alias("price")
     )
-    pid = F.col("policy_id")
-    return policy.withColumn("policy_id", F.col("o_custkey") * 10 + F.col("digit")).select(
-        pid,
-        F.col("o_custkey").alias("policyholder_id"),
-        F.concat(F.lit("POL-"), F.lpad(pid.cast("string"), 10, "0")).alias("policy_number"),
-        _coverage(F.col("digit"), (" Auto", "HOME ", "liability", "Health", "life")).alias("coverage_type"),
+    return policy.selectExpr("o_custkey * 10 + digit AS policy_id", "*").selectExpr(
+        "policy_id",
+        "o_custkey AS policyholder_id",
+        "concat('POL-', lpad(CAST(policy_id AS STRING), 10, '0')) AS policy_number",
+        "elt(CAST(digit AS INT), ' Auto', 'HOME ', 'liability', 'Health', 'life') AS coverage_type",
         "effective_date",
-        F.date_add(
-            "effective_date", F.when(pid % 97 == 0, 0).otherwise(180 + pid % 1500).cast("int")
-        ).alias("expiration_date"),
-        _money(F.col("price"), 14).alias("annual_premium"),
-        _money(pid % 20 * 1000, 14).alias("deductible"),
-        _money(200000 + pid % 50 * 100000, 16).alias("coverage_limit"),
-        F.when(pid % 13 == 0, "Cancelled").when(pid % 3 == 0, " active ").otherwise("expired").alias("status"),
+        "date_add(effective_date, CAST(CASE WHEN policy_id % 97 = 0 THEN 0 ELSE 180 + policy_id % 1500 END AS INT))"
+        " AS expiration_date",
+        "CAST(price AS DECIMAL(14,2)) AS annual_premium",
+        "CAST(policy_id % 20 * 1000 AS DECIMAL(14,2)) AS deductible",
+        "CAST(200000 + policy_id % 50 * 100000 AS DECIMAL(16,2)) AS coverage_limit",
+        "CASE WHEN policy_id % 13 = 0 THEN 'Cancelled' WHEN policy_id % 3 = 0 THEN ' active ' ELSE 'expired' END"
+        " AS status",
     )
 
 
 def raw_claims(orders: DataFrame) -> DataFrame:
-    key = F.col("o_orderkey")
-    closed = F.col("o_orderstatus") == "F"
-    denied = (F.col("o_orderstatus") == "P") & (key % 2 == 0)
-    accident = F.to_date("o_orderdate")
-    copies = F.when(key % 100 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    return orders.select("*", F.explode(copies).alias("copy")).select(
-        key.alias("claim_id"),
-        (F.col("o_custkey") * 10 + _priority_digit()).alias("policy_id"),
-        F.concat(F.lit("CLM-"), key.cast("string")).alias("claim_number"),
-        accident.alias("accident_date"),
-        F.date_add(accident, (key % 120).cast("int") + F.col("copy")).alias("report_date"),
-        F.when(closed, F.date_add(accident, (150 + key % 400).cast("int"))).alias("close_date"),
-        F.when(closed, "Closed")
-        .when(F.col("o_orderstatus") == "O", "open ")
-        .when(denied, "denied")
-        .otherwise("REOPENED")
-        .alias("claim_status"),
-        F.when(key % 25 != 0, F.concat(F.lit("Cause_"), (key % 6).cast("string"))).alias("cause_of_loss"),
-        _money(F.col("o_totalprice"), 16).alias("initial_reserve"),
-        F.when(closed | denied, _money(F.lit(0), 16))
-        .otherwise(_money(F.col("o_totalprice"), 16))
-        .alias("current_reserve"),
+    return orders.selectExpr(
+        "o_orderkey AS claim_id",
+        f"o_custkey * 10 + {DIGIT} AS policy_id",
+        "to_date(o_orderdate) AS accident_date",
+        "CASE o_orderstatus WHEN 'F' THEN 'Closed' WHEN 'O' THEN 'open '"
+        " ELSE if(o_orderkey % 2 = 0, 'denied', 'REOPENED') END AS claim_status",
+        "CAST(o_totalprice AS DECIMAL(16,2)) AS initial_reserve",
+        "explode(if(o_orderkey % 100 = 0, array(0, 1), array(0))) AS copy",
+    ).selectExpr(
+        "claim_id",
+        "policy_id",
+        "concat('CLM-', claim_id) AS claim_number",
+        "accident_date",
+        "date_add(accident_date, CAST(claim_id % 120 + copy AS INT)) AS report_date",
+        "if(claim_status = 'Closed', date_add(accident_date, CAST(150 + claim_id % 400 AS INT)), NULL) AS close_date",
+        "claim_status",
+        "if(claim_id % 25 = 0, NULL, concat('Cause_', claim_id % 6)) AS cause_of_loss",
+        "initial_reserve",
+        "CAST(if(claim_status IN ('Closed', 'denied'), 0, initial_reserve) AS DECIMAL(16,2)) AS current_reserve",
     )
 
 
 def raw_claim_payments(lineitem: DataFrame) -> DataFrame:
-    flag = F.col("l_returnflag")
-    amount = F.when(flag == "R", _money(-10 * F.col("l_quantity"), 16)).otherwise(
-        _money(F.col("l_extendedprice"), 16)
-    )
-    payment_id = (
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")) * 100000 + F.col("l_partkey")
-    ) * 10000 + F.col("l_suppkey")
-    return lineitem.select(
-        payment_id.alias("payment_id"),
-        F.col("l_orderkey").alias("claim_id"),
-        F.to_date("l_shipdate").alias("payment_date"),
-        amount.alias("payment_amount"),
-        F.when(flag == "N", "Indemnity").when(flag == "A", "expense ").otherwise("recovery").alias("payment_type"),
-        (amount * F.col("l_linenumber")).cast("decimal(16,2)").alias("cumulative_paid"),
+    return lineitem.selectExpr(
+        "((l_orderkey * 10 + l_linenumber) * 100000 + l_partkey) * 10000 + l_suppkey AS payment_id",
+        "l_orderkey AS claim_id",
+        "to_date(l_shipdate) AS payment_date",
+        "CAST(if(l_returnflag = 'R', -10 * l_quantity, l_extendedprice) AS DECIMAL(16,2)) AS payment_amount",
+        "CASE l_returnflag WHEN 'N' THEN 'Indemnity' WHEN 'A' THEN 'expense ' ELSE 'recovery' END AS payment_type",
+        "l_linenumber",
+    ).selectExpr(
+        "* EXCEPT (l_linenumber)", "CAST(payment_amount * l_linenumber AS DECIMAL(16,2)) AS cumulative_paid"
     )
 
 
 def raw_policyholders(customer: DataFrame, nation: DataFrame) -> DataFrame:
-    key = F.col("c_custkey")
-    name = F.split("c_name", "#")
-    return customer.join(nation, customer.c_nationkey == nation.n_nationkey).select(
-        key.alias("policyholder_id"),
-        F.concat(F.lit(" "), name[0]).alias("first_name"),
-        F.concat(name[1], F.lit(" ")).alias("last_name"),
-        F.date_add(F.lit(date(1930, 1, 1)), (key * 37 % 16000).cast("int")).alias("date_of_birth"),
-        F.when(key % 2 == 0, "m").otherwise("F ").alias("gender"),
-        F.lower("n_name").alias("state_code"),
-        F.when(key % 14 != 0, F.concat(F.lit("City "), (key % 40).cast("string"))).alias("city"),
-        F.when(key % 8 != 0, F.col("c_mktsegment")).alias("occupation"),
-        F.date_add(F.lit(date(1994, 1, 1)), (key % 700).cast("int")).alias("registration_date"),
+    return customer.join(nation, customer.c_nationkey == nation.n_nationkey).selectExpr(
+        "c_custkey AS policyholder_id",
+        "concat(' ', split_part(c_name, '#', 1)) AS first_name",
+        "concat(split_part(c_name, '#', 2), ' ') AS last_name",
+        "date_add(DATE '1930-01-01', CAST(c_custkey * 37 % 16000 AS INT)) AS date_of_birth",
+        "if(c_custkey % 2 = 0, 'm', 'F ') AS gender",
+        "lower(n_name) AS state_code",
+        "if(c_custkey % 14 = 0, NULL, concat('City ', c_custkey % 40)) AS city",
+        "if(c_custkey % 8 = 0, NULL, c_mktsegment) AS occupation",
+        "date_add(DATE '1994-01-01', CAST(c_custkey % 700 AS INT)) AS registration_date",
     )
 
 
 def raw_coverages(orders: DataFrame) -> DataFrame:
     """Reference rows for the coverages in use; life is left out so that left joins miss once."""
-    digit = F.col("digit")
     return (
-        orders.select(_priority_digit().alias("digit"))
+        orders.selectExpr(f"CAST({DIGIT} AS INT) AS digit")
         .distinct()
-        .filter(digit < 5)
-        .select(
-            _coverage(digit, ("AUTO", " home", "Liability ", "health")).alias("coverage_type"),
-            F.when(digit <= 2, "Property_Casualty").when(digit == 3, " casualty").otherwise("HEALTH").alias(
-                "coverage_category"
-            ),
-            F.concat(F.lit(" Cover no. "), digit.cast("string"), F.lit(" ")).alias("description"),
+        .filter("digit < 5")
+        .selectExpr(
+            "elt(digit, 'AUTO', ' home', 'Liability ', 'health') AS coverage_type",
+            "CASE digit WHEN 3 THEN ' casualty' WHEN 4 THEN 'HEALTH' ELSE 'Property_Casualty' END"
+            " AS coverage_category",
+            "concat(' Cover no. ', digit, ' ') AS description",
         )
     )
 
 
-# Event type -> coverage written into the JSON event; error carries an unknown one.
-_EVENT_COVERAGE = (
-    ("click", "auto_colision"),
-    ("view", "hogar_robo"),
-    ("signup", "vida_individual"),
-    ("purchase", "gastos_medicos_mayores"),
-    ("error", "unknown_x"),
-)
-
-
 def raw_claim_events(events: DataFrame) -> DataFrame:
     """One JSON text per event (column value), with arrival order and the planted defects."""
-    eid = F.col("event_id")
-    coverage = F.lit(None).cast("string")
-    for kind, name in _EVENT_COVERAGE:
-        coverage = F.when(F.col("event_type") == kind, name).otherwise(coverage)
-    cents = F.col("value").cast("decimal(12,2)")
-    amount = F.when(eid % 31 == 0, -cents).otherwise(cents)
-    accident = F.when(eid % 37 == 0, F.lit("not-a-date")).otherwise(F.date_format("ts", "yyyy-MM-dd"))
-    stamp = F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z"))
-
-    def field(name: str, value: Column) -> Column:
-        return F.concat(F.lit(f'"{name}": "'), value, F.lit('"'))
-
-    body = F.concat_ws(
-        ", ",
-        F.when(eid % 29 != 0, field("claim_id", F.concat(F.lit("c-"), F.floor(eid / 2).cast("string")))),
-        field("policy_id", F.concat(F.lit("POL-"), F.col("user_id").cast("string"))),
-        field("accident_date", accident),
-        field("cause_of_loss", F.col("event_type")),
-        F.concat(F.lit('"estimated_amount": '), amount.cast("string")),
-        field("coverage_type", coverage),
-        field("claimant_state", F.concat(F.lit("S"), (F.col("user_id") % 32).cast("string"))),
-        field("currency", F.lit("MXN")),
-        field("timestamp", stamp),
-    )
-    whole = F.concat(F.lit("{"), body, F.lit("}"))
-    value = F.when(eid % 41 == 0, F.concat(F.lit("{"), body)).otherwise(whole)
-    delay = F.when(eid % 10 == 0, 5400).when(eid % 7 == 0, 180).otherwise(0)
-    ts = F.date_trunc("second", F.col("ts").cast("timestamp"))
-    return events.select(
+    return events.selectExpr(
+        "event_id",
+        """concat_ws(', ',
+          CASE WHEN event_id % 29 <> 0 THEN concat('"claim_id": "c-', event_id div 2, '"') END,
+          concat('"policy_id": "POL-', user_id, '"'),
+          concat('"accident_date": "', if(event_id % 37 = 0, 'not-a-date', date_format(ts, 'yyyy-MM-dd')), '"'),
+          concat('"cause_of_loss": "', event_type, '"'),
+          concat('"estimated_amount": ', if(event_id % 31 = 0, '-', ''), CAST(value AS DECIMAL(12,2))),
+          concat('"coverage_type": "', CASE event_type WHEN 'click' THEN 'auto_colision' WHEN 'view' THEN 'hogar_robo'
+            WHEN 'signup' THEN 'vida_individual' WHEN 'purchase' THEN 'gastos_medicos_mayores'
+            ELSE 'unknown_x' END, '"'),
+          concat('"claimant_state": "S', user_id % 32, '"'),
+          '"currency": "MXN"',
+          concat('"timestamp": "', date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"), 'Z"')) AS body""",
+        "date_trunc('second', CAST(ts AS TIMESTAMP)) AS event_ts",
+    ).selectExpr(
         "event_id",
-        value.alias("value"),
-        ts.alias("event_ts"),
-        (ts + F.make_dt_interval(secs=delay.cast("decimal(18,6)"))).alias("arrival_ts"),
+        "concat('{', body, if(event_id % 41 = 0, '', '}')) AS value",
+        "event_ts",
+        "event_ts + make_dt_interval(0, 0, CASE WHEN event_id % 10 = 0 THEN 90 WHEN event_id % 7 = 0 THEN 3 ELSE 0 END)"
+        " AS arrival_ts",
     )
 
 
@@ -212,7 +167,7 @@ def motor_frequency(customer: DataFrame, nation: DataFrame, orders: DataFrame) -
 def motor_severity(orders: DataFrame) -> DataFrame:
     return orders.filter(F.col("o_orderkey") % 5 == 0).select(
         F.col("o_custkey").alias("IDpol"),
-        _money(F.col("o_totalprice"), 16).alias("ClaimAmount"),
+        F.col("o_totalprice").cast("decimal(16,2)").alias("ClaimAmount"),
     )
 
 
