@@ -76,6 +76,7 @@ def _load() -> None:
         from lossline.plans import (  # noqa: F401  (each registers its queries)
             queries_warehouse,
             queries_pricing,
+            queries_events,
         )
 
 
