@@ -77,6 +77,7 @@ def _load() -> None:
             queries_warehouse,
             queries_pricing,
             queries_events,
+            queries_quality,
         )
 
 

@@ -84,16 +84,20 @@ class Warehouse(Mapping):
         self._tables = dict(tables)
         self._kept: set[str] = set()
 
+    def build(self, name: str) -> DataFrame:
+        """Compose one model from the tables it reads."""
+        model = MODELS[name]
+        for table in model.keep:
+            self.keep(table)
+        inputs = [self[i] for i in model.inputs]
+        return model.build(*inputs, self.cfg) if model.uses_config else model.build(*inputs)
+
     def __getitem__(self, name: str) -> DataFrame:
         given = self._tables.get(name)
-        if callable(given):
+        if given is None:
+            self._tables[name] = self.build(name)
+        elif callable(given):
             self._tables[name] = given()
-        elif given is None:
-            model = MODELS[name]
-            for table in model.keep:
-                self.keep(table)
-            inputs = [self[i] for i in model.inputs]
-            self._tables[name] = model.build(*inputs, self.cfg) if model.uses_config else model.build(*inputs)
         return self._tables[name]
 
     def keep(self, name: str) -> DataFrame:
@@ -104,7 +108,9 @@ class Warehouse(Mapping):
         return self._tables[name]
 
     def __setitem__(self, name: str, table: DataFrame) -> None:
+        """Give a table that has been written elsewhere."""
         self._tables[name] = table
+        self._kept.add(name)
 
     def __iter__(self):
         return iter([*RAW, *MODELS])

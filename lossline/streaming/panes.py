@@ -14,18 +14,20 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from datetime import datetime, timezone
 
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Row, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from lossline.config import StreamConfig
-from lossline.sources.schemas import PANE_SUMMARY_SCHEMA
 
 _PARTIAL = (
     "coverage_type STRING, window_end_ms BIGINT, n BIGINT, total DOUBLE, low DOUBLE, high DOUBLE, event_time TIMESTAMP"
 )
+_PANE = (
+    "coverage_type STRING, window_end_ms BIGINT, n BIGINT, total DOUBLE, low DOUBLE, high DOUBLE, "
+    "pane_timing STRING, firing_id STRING"
+)
 _STATE = "n BIGINT, total DOUBLE, low DOUBLE, high DOUBLE, fired BOOLEAN"
 
 
@@ -60,30 +62,25 @@ class PaneProcessor(StatefulProcessor):
         watermark = timer_values.getCurrentWatermarkInMs()
         return watermark + self.ahead_ms if watermark > 0 else 0
 
-    def _pane(self, key, totals, timing: str) -> pd.DataFrame:
+    @staticmethod
+    def _pane(key, totals, timing: str) -> Row:
         coverage, end = key
         n, total, low, high = totals
         identity = hashlib.sha1(f"{coverage}|{end}|{timing}|{n}".encode()).hexdigest()
-        start, stop = (datetime.fromtimestamp(ms / 1000, timezone.utc).replace(tzinfo=None) for ms in (end - self.window_ms, end))
-        return pd.DataFrame(
-            {
-                "window_start": [pd.Timestamp(start)],
-                "window_end": [pd.Timestamp(stop)],
-                "coverage_type": [coverage],
-                "claim_count": [n],
-                "total_amount_mxn": [round(total, 2)],
-                "avg_amount_mxn": [round(total / n, 2)],
-                "min_amount_mxn": [round(low, 2)],
-                "max_amount_mxn": [round(high, 2)],
-                "pane_timing": [timing],
-                "firing_id": [identity],
-            }
+        return Row(
+            coverage_type=coverage,
+            window_end_ms=end,
+            n=n,
+            total=total,
+            low=low,
+            high=high,
+            pane_timing=timing,
+            firing_id=identity,
         )
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         end = key[1]
         complete_to = self._complete_to(timerValues)
-        added = pd.concat(list(rows))  # a few partial rows per batch, not events
         if complete_to > end + self.lateness_ms:
             return
         held = self.totals.get() if self.totals.exists() else None
@@ -96,13 +93,12 @@ class PaneProcessor(StatefulProcessor):
             if not fired and complete_to >= end:
                 yield self._pane(key, (n, total, low, high), "ON_TIME")
                 fired = True
-        n += int(added["n"].sum())
-        total += float(added["total"].sum())
-        low, high = min(low, float(added["low"].min())), max(high, float(added["high"].max()))
+        for part in rows:
+            n, total, low, high = n + part.n, total + part.total, min(low, part.low), max(high, part.high)
         self.totals.update((n, total, low, high, fired))
         yield self._pane(key, (n, total, low, high), "LATE" if fired else "EARLY")
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         end = key[1]
         if not self.totals.exists():
             return
@@ -124,9 +120,22 @@ def pane_summary(events: DataFrame, cfg: StreamConfig) -> DataFrame:
     partial = narrow.mapInPandas(_partials, _PARTIAL).withWatermark(
         "event_time", f"{cfg.window_seconds + cfg.allowed_lateness_seconds} seconds"
     )
-    return partial.groupBy("coverage_type", "window_end_ms").transformWithStateInPandas(
+    fired = partial.groupBy("coverage_type", "window_end_ms").transformWithState(
         statefulProcessor=PaneProcessor(window_ms, lateness_ms),
-        outputStructType=PANE_SUMMARY_SCHEMA,
+        outputStructType=_PANE,
         outputMode="Update",
         timeMode="EventTime",
     )
+    total = F.round("total", 6).cast("decimal(28,6)")
+    return fired.select(
+        F.timestamp_millis(F.col("window_end_ms") - window_ms).alias("window_start"),
+        F.timestamp_millis("window_end_ms").alias("window_end"),
+        "coverage_type",
+        F.col("n").alias("claim_count"),
+        F.round(total, 2).cast("double").alias("total_amount_mxn"),
+        F.round(total / F.col("n"), 2).cast("double").alias("avg_amount_mxn"),
+        F.round("low", 2).alias("min_amount_mxn"),
+        F.round("high", 2).alias("max_amount_mxn"),
+        "pane_timing",
+        "firing_id",
+    )
