@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 DEFAULT_RANGES = 64
 ROWS_PER_RANGE = 2_000_000
 MAX_RANGES = 16_384
+LAST = 2**31 - 1
 
 _POS, _RANGE, _BASE = "_ord_pos", "_ord_range", "_ord_base"
 
@@ -103,9 +104,13 @@ def _position(value: Column, points: tuple[float, ...]) -> Column:
 
 
 def range_number(df: DataFrame, cuts: Cuts) -> Column:
-    """Array of range positions, one per key level in use; arrays compare in sort order."""
+    """Array of range positions, one per key level in use; arrays compare in sort order.
+
+    A heavy value is itself a cut point, so it opens its range: the other rows of that range
+    are larger and take the last position of the next level.
+    """
     numbers = [_number(df, k) for k in cuts.keys]
-    levels = [F.lit(0)] * (1 + max(len(prefix) for prefix in cuts.points))
+    levels = [F.lit(LAST)] * (1 + max(len(prefix) for prefix in cuts.points))
     for prefix, points in cuts.points.items():
         place = _position(numbers[len(prefix)], points)
         for number, value in zip(numbers, prefix):
@@ -120,7 +125,8 @@ def _sort(keys: list[str]) -> list[Column]:
 
 def _prepare(df: DataFrame, keys: list[str], ranges: int | None, cuts: Cuts | None) -> tuple[DataFrame, Cuts]:
     cuts = cuts or range_cuts(df, keys, ranges)
-    return df.withColumn(_RANGE, range_number(df, cuts)), cuts
+    # A generator of one row: the range is computed once and is opaque to filter inference.
+    return df.select("*", F.inline(F.array(F.struct(range_number(df, cuts).alias(_RANGE))))), cuts
 
 
 def _with_base(ranged: DataFrame, totals: list[Column], bases: list[tuple[str, str, str]], keep: list[str]) -> DataFrame:

@@ -78,6 +78,7 @@ def _load() -> None:
             queries_pricing,
             queries_events,
             queries_quality,
+            queries_tables,
         )
 
 
