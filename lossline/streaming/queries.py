@@ -42,8 +42,12 @@ def windowed(events: DataFrame, cfg: StreamConfig, slide: str | None = None) ->
 
 
 def deduplicated(events: DataFrame, cfg: StreamConfig) -> DataFrame:
-    """One event per claim and window; state is dropped once the watermark has passed the window."""
-    keyed = with_lateness(events, cfg).withColumn("window", F.window("event_time", cfg.window))
+    """One event per claim and window; state is dropped once the watermark has passed the window.
+
+    The window takes over as the event-time column, so event_time is rebuilt as a plain one.
+    """
+    plain = F.timestamp_micros(F.unix_micros("event_time"))
+    keyed = with_lateness(events, cfg).withColumns({"window": F.window("event_time", cfg.window), "event_time": plain})
     return keyed.dropDuplicates(["claim_id", "window"])
 
 
