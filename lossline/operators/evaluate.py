@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from lossline.config import Config
 from lossline.functions.columns import ratio
@@ -104,9 +104,9 @@ def eval_lift_table(
     by_group = ranked.groupBy(group.cast("int").alias("decile")).agg(
         F.avg("p").alias("p"), F.avg("y").alias("y"), F.sum("y").alias("total"), F.count("*").alias("count")
     )
-    overall = by_group.agg((F.sum("total") / F.sum("count")).alias("overall"))
-    overall = overall.select(F.when(F.col("overall") == 0, 1e-10).otherwise(F.col("overall")).alias("overall"))
-    return by_group.crossJoin(F.broadcast(overall)).select(  # one row against one row per group
+    everything = Window.partitionBy(F.lit(0))  # one row per group
+    overall = F.sum("total").over(everything) / F.sum("count").over(everything)
+    return by_group.withColumn("overall", F.when(overall == 0, 1e-10).otherwise(overall)).select(
         "decile",
         F.round("p", 2).alias("avg_predicted"),
         F.round("y", 2).alias("avg_actual"),

@@ -210,7 +210,9 @@ def fremtpl_summary(policies: DataFrame, exposure: DataFrame, claims: DataFrame)
         F.count("*").alias("total_claims"),
         F.sum("total_paid").alias("paid"),
     )
-    return book.crossJoin(F.broadcast(years)).crossJoin(F.broadcast(loss)).select(
+    # Three rows with different columns; the greatest value per column puts them into one.
+    rows = book.unionByName(years, allowMissingColumns=True).unionByName(loss, allowMissingColumns=True)
+    return rows.agg(*[F.max(c).alias(c) for c in rows.columns]).select(
         "n_policies",
         F.round("years", 1).alias("total_exposure"),
         "policies_with_claims",

@@ -186,10 +186,9 @@ def merge_upsert(target: DataFrame, updates: DataFrame, key: str) -> DataFrame:
 
 
 def newer_than(source: DataFrame, loaded: DataFrame, column: str) -> DataFrame:
-    """Source rows newer than the newest loaded one; all of them if nothing is loaded yet."""
-    newest = loaded.agg(F.max(column).alias("_newest"))
-    return (
-        source.join(F.broadcast(newest))  # one row
-        .filter(F.col("_newest").isNull() | (F.col(column) > F.col("_newest")))
-        .drop("_newest")
-    )
+    """Source rows newer than the newest loaded one; all of them if nothing is loaded yet.
+
+    The newest value is read first and enters as a literal, so that the scan can skip files.
+    """
+    newest = loaded.agg(F.max(column)).first()[0]
+    return source if newest is None else source.filter(F.col(column) > F.lit(newest))

@@ -122,16 +122,6 @@ def dq_gate(
     critical: Sequence[str] = ("claim_id", "policy_id", "accident_date", "cause_of_loss"),
 ) -> DataFrame:
     """One row per check: (check_name, value, threshold, passed)."""
-    claim = claims.agg(
-        F.count("*").alias("row_count_claims"),
-        F.datediff(F.lit(as_of), F.max("report_date")).alias("age"),
-        F.greatest(*[F.count_if(F.col(c).isNull()) for c in critical]).alias("nulls"),
-    )
-    policy = policies.agg(
-        F.count("*").alias("row_count_policies"), F.count_if(F.col("annual_premium") <= 0).alias("bad_premiums")
-    )
-    lost = orphans(claims, policies, "policy_id").agg(F.count("*").alias("lost"))
-    figures = claim.crossJoin(F.broadcast(policy)).crossJoin(F.broadcast(lost))  # one row each
 
     def check(name: str, value: Column, threshold: float, passed: Column) -> Column:
         return F.struct(
@@ -141,16 +131,36 @@ def dq_gate(
             F.coalesce(passed, F.lit(False)).alias("passed"),
         )
 
-    null_rate = ratio(F.col("nulls"), F.col("row_count_claims"))
-    checks = [
-        check("row_count_claims", F.col("row_count_claims"), 0, F.col("row_count_claims") > 0),
-        check("row_count_policies", F.col("row_count_policies"), 0, F.col("row_count_policies") > 0),
-        check("referential_integrity", F.col("lost"), 0, F.col("lost") == 0),
-        check("date_freshness", F.col("age"), max_age_days, F.col("age") <= max_age_days),
-        check("premium_positive", F.col("bad_premiums"), 0, F.col("bad_premiums") == 0),
-        check("null_rate_acceptable", null_rate, max_null_rate, null_rate < max_null_rate),
-    ]
-    return figures.select(F.explode(F.array(*checks)).alias("c")).select("c.*")
+    def judge(figures: DataFrame, *checks: Column) -> DataFrame:
+        return figures.select(F.explode(F.array(*checks)).alias("c")).select("c.*")
+
+    rows, age, nulls, bad, lost = (F.col(c) for c in ("rows", "age", "nulls", "bad", "lost"))
+    null_rate = ratio(nulls, rows)
+    claim = claims.agg(
+        F.count("*").alias("rows"),
+        F.datediff(F.lit(as_of), F.max("report_date")).alias("age"),
+        F.greatest(*[F.count_if(F.col(c).isNull()) for c in critical]).alias("nulls"),
+    )
+    policy = policies.agg(F.count("*").alias("rows"), F.count_if(F.col("annual_premium") <= 0).alias("bad"))
+    return _all(
+        [
+            judge(
+                claim,
+                check("row_count_claims", rows, 0, rows > 0),
+                check("date_freshness", age, max_age_days, age <= max_age_days),
+                check("null_rate_acceptable", null_rate, max_null_rate, null_rate < max_null_rate),
+            ),
+            judge(
+                policy,
+                check("row_count_policies", rows, 0, rows > 0),
+                check("premium_positive", bad, 0, bad == 0),
+            ),
+            judge(
+                orphans(claims, policies, "policy_id").agg(F.count("*").alias("lost")),
+                check("referential_integrity", lost, 0, lost == 0),
+            ),
+        ]
+    )
 
 
 def dq_cumulative_monotonic(payments: DataFrame) -> DataFrame:
@@ -207,18 +217,14 @@ def dq_loss_ratio_band(frequency: DataFrame, width: float = 1.0) -> DataFrame:
 
 
 def dq_triangle_complete(long: DataFrame) -> DataFrame:
-    """Cells without payments between the first and the last development year of the triangle.
+    """Cells without payments between development year 0 and the last one of the whole triangle.
 
-    The triangle has one row per year and development year, so its grid is small.
+    The triangle has one row per accident and development year: a small table.
     """
-    span = long.agg(F.max("development_year").alias("last"))
-    grid = (
-        long.select("accident_year")
-        .distinct()
-        .join(F.broadcast(span))  # one row
-        .select("accident_year", F.explode(F.sequence(F.lit(0), "last")).alias("development_year"))
-    )
-    return grid.join(long, ["accident_year", "development_year"], "left_anti")
+    last = F.max(F.max("development_year")).over(Window.partitionBy(F.lit(0)))
+    grid = long.groupBy("accident_year").agg(last.alias("last"))
+    cells = grid.select("accident_year", F.explode(F.sequence(F.lit(0), "last")).alias("development_year"))
+    return cells.join(long, ["accident_year", "development_year"], "left_anti")
 
 
 def dq_dev_factor_anomaly(links: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.errors import PySparkException
@@ -13,6 +14,9 @@ from lossline.config import Config
 from lossline.plans.warehouse import LAYERS, MODELS, RAW, Warehouse, models_of
 
 
+CONCURRENT_TABLES = 4
+
+
 @dataclass
 class LayerRun:
     layer: str
@@ -63,25 +67,45 @@ def _write(table: DataFrame, path: str) -> tuple[DataFrame, int]:
     return table.sparkSession.read.schema(table.schema).parquet(path), seen.get["rows"]
 
 
+def _run_table(warehouse: Warehouse, name: str, path: str) -> tuple[DataFrame | None, int, str | None, float]:
+    """Write one table: (table, rows, error, seconds)."""
+    begun = time.monotonic()
+    table, rows, error = None, -1, None
+    absent = [i for i in MODELS[name].inputs if not warehouse.has(i)] if name in MODELS else []
+    if name not in MODELS:
+        error = "unknown table"
+    elif absent:
+        error = "missing upstream tables: " + ", ".join(absent)
+    else:
+        try:
+            table, rows = _write(warehouse.build(name), path)
+        except (PySparkException, ValueError) as failure:
+            error = str(failure).splitlines()[0]
+    return table, rows, error, round(time.monotonic() - begun, 3)
+
+
 def run_layer(warehouse: Warehouse, layer: str, folder: str, tables: Sequence[str] | None = None) -> LayerRun:
-    """Write the tables of one layer. A table whose inputs are missing is an error of its own."""
+    """Write the tables of one layer. A table whose inputs are missing is an error of its own.
+
+    Tables that do not read each other are submitted together, so that the short tail of
+    one job leaves its cores to the next.
+    """
     run = LayerRun(layer)
     if layer not in LAYERS:
         run.errors[layer] = f"unknown layer: {layer}"
         return run
-    for name in tables or models_of(layer):
-        begun = time.monotonic()
-        try:
-            absent = [i for i in MODELS[name].inputs if not warehouse.has(i)] if name in MODELS else []
-            if name not in MODELS:
-                run.errors[name] = "unknown table"
-            elif absent:
-                run.errors[name] = "missing upstream tables: " + ", ".join(absent)
+    pending = list(tables or models_of(layer))
+    while pending:
+        wave = [n for n in pending if n not in MODELS or not set(MODELS[n].inputs) & set(pending)]
+        pending = [n for n in pending if n not in wave]
+        with ThreadPoolExecutor(CONCURRENT_TABLES) as pool:
+            results = list(pool.map(lambda n: _run_table(warehouse, n, f"{folder}/{layer}/{n}"), wave))
+        for name, (table, rows, error, seconds) in zip(wave, results):
+            run.seconds[name] = seconds
+            if error:
+                run.errors[name] = error
             else:
-                warehouse[name], run.tables[name] = _write(warehouse.build(name), f"{folder}/{layer}/{name}")
-        except (PySparkException, ValueError) as error:
-            run.errors[name] = str(error).splitlines()[0]
-        run.seconds[name] = round(time.monotonic() - begun, 3)
+                warehouse[name], run.tables[name] = table, rows
     return run
 
 

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from lossline.config import Config
+from lossline.functions.bounded import broadcast_checked
 from lossline.operators import features, intermediate, marts, reports, staging
 from lossline.session import materialise
 
@@ -20,6 +21,7 @@ class Model:
     inputs: tuple[str, ...]
     build: Callable[..., DataFrame]
     uses_config: bool = False
+    small: bool = False  # a code list: fetched once, within the bound of broadcast_checked
     keep: tuple[str, ...] = ()  # tables the model reads several times: written before it is built
 
 
@@ -28,7 +30,7 @@ MODELS: dict[str, Model] = {
     "stg_policies": Model("staging", ("raw_policies",), staging.stg_policies),
     "stg_claims": Model("staging", ("raw_claims",), staging.stg_claims),
     "stg_claim_payments": Model("staging", ("raw_claim_payments",), staging.stg_claim_payments),
-    "stg_coverages": Model("staging", ("raw_coverages",), staging.stg_coverages),
+    "stg_coverages": Model("staging", ("raw_coverages",), staging.stg_coverages, small=True),
     "int_claims_enriched": Model(
         "intermediate", ("stg_claims", "stg_policies", "stg_coverages"), intermediate.int_claims_enriched, True
     ),
@@ -90,7 +92,8 @@ class Warehouse(Mapping):
         for table in model.keep:
             self.keep(table)
         inputs = [self[i] for i in model.inputs]
-        return model.build(*inputs, self.cfg) if model.uses_config else model.build(*inputs)
+        table = model.build(*inputs, self.cfg) if model.uses_config else model.build(*inputs)
+        return broadcast_checked(table) if model.small else table
 
     def __getitem__(self, name: str) -> DataFrame:
         given = self._tables.get(name)
