@@ -15,9 +15,14 @@ from lossline.sources import projection
 from lossline.streaming import panes, queries as streams, sinks
 
 CFG = StreamConfig()
-NOW = F.lit(datetime(2024, 2, 1)).cast("timestamp")
 _NOW = "'2024-02-01 00:00:00'"
 
+
+def _now():
+    """A fixed processing time. Columns need a session, so it is made when a query is built."""
+    return F.lit(datetime(2024, 2, 1)).cast("timestamp")
+
+
 relation("claim_events", """
 SELECT event_id, '{' || concat_ws(', ',
          if(event_id % 29 <> 0, '"claim_id": "c-' || (event_id // 2) || '"', NULL),
@@ -59,11 +64,11 @@ relation("good_events", "SELECT * FROM event_verdicts WHERE error_reason IS NULL
 
 
 def _judged(d):
-    return ev.validate(d.events, NOW)
+    return ev.validate(d.events, _now())
 
 
 def _valid(d):
-    return ev.valid_events(_judged(d), CFG, NOW)
+    return ev.valid_events(_judged(d), CFG, _now())
 
 
 add(
@@ -79,7 +84,7 @@ add(
 )
 add(
     "str_dead_letters",
-    lambda d: ev.dead_letters(_judged(d), NOW),
+    lambda d: ev.dead_letters(_judged(d), _now()),
     sql(f"""SELECT left(value, 2000) AS raw_data, error_reason, if(error_reason LIKE 'JSON%', 'parse', 'validate') AS error_type,
        {_NOW} AS processing_timestamp FROM event_verdicts WHERE error_reason IS NOT NULL"""),
 )
@@ -129,7 +134,7 @@ add(
 
 
 def _route(d):
-    valid, invalid = ev.intake_route(_intake(d), NOW)
+    valid, invalid = ev.intake_route(_intake(d), _now())
     good = valid.select(F.lit("valid").alias("route"), "claim_id", F.lit("").alias("reason"))
     return good.unionByName(
         invalid.select(F.lit("invalid").alias("route"), F.lit(None).cast("string").alias("claim_id"), "reason")
@@ -171,7 +176,7 @@ FROM event_fields WHERE j IS NOT NULL
 
 
 def _batch(d):
-    return ev.batch_parse(d.events, NOW)
+    return ev.batch_parse(d.events, _now())
 
 
 _SUMS = """count(*) AS claim_count, CAST(round(sum(amount), 2) AS DOUBLE) AS total_amount_mxn,
@@ -182,7 +187,7 @@ _WINDOW = """strftime(date_trunc('hour', event_time), '%Y-%m-%d %H:%M:%S') AS wi
 
 add(
     "batch_parse_claim",
-    lambda d: ev.batch_dead_letters(_batch(d), NOW),
+    lambda d: ev.batch_dead_letters(_batch(d), _now()),
     sql(f"SELECT value AS raw_data, 'not JSON' AS error_reason, {_NOW} AS processing_timestamp "
         "FROM event_fields WHERE j IS NULL"),
 )
@@ -238,7 +243,7 @@ FROM (SELECT *, row_number() OVER (ORDER BY arrival_ts, event_id) AS nr FROM goo
 add(
     "stream_late_arrivals",
     lambda d: ev.late_arrivals(
-        _valid(d).select("claim_id", "event_time", "arrival_ts", "event_id", "value"), ["arrival_ts", "event_id"], NOW
+        _valid(d).select("claim_id", "event_time", "arrival_ts", "event_id", "value"), ["arrival_ts", "event_id"], _now()
     ),
     sql(f"""
 SELECT claim_id, strftime(event_time, '%Y-%m-%d %H:%M:%S') AS original_timestamp,
@@ -290,7 +295,7 @@ FROM good_events LEFT JOIN (SELECT 'POL-' || c_custkey AS policy_id, c_mktsegmen
 def _event_stream(d):
     """Valid events of the events table, read as a stream."""
     raw = projection.raw_claim_events(streams.table_stream(d.spark, d.folder, "events"))
-    return ev.valid_events(ev.validate(raw, NOW), CFG, NOW)
+    return ev.valid_events(ev.validate(raw, _now()), CFG, _now())
 
 
 def _streamed(d, stream, name, mode="append"):
@@ -365,7 +370,7 @@ def _routed(d):
     paths = {n: d.scratch(n) for n in ("valid", "dead", "motor")}
     wanted = {paths["motor"]: {"coverage_type": ["auto_colision"]}}
     streams.run_available(
-        ev.validate(raw, NOW), sinks.route_batches(paths["valid"], paths["dead"], wanted), d.scratch("route-checkpoint")
+        ev.validate(raw, _now()), sinks.route_batches(paths["valid"], paths["dead"], wanted), d.scratch("route-checkpoint")
     )
     return {n: d.spark.read.option("basePath", p).parquet(p) for n, p in paths.items()}
 
