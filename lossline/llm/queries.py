@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lossline import session
-from lossline.llm import bpe
-from lossline.llm.common import load
+from lossline.llm import bpe, langid
+from lossline.llm.common import load, pick
 
 #: Where the vocabulary files lie; a parameter, since they belong to another package.
 VOCABULARY = "word_bpe_49k.json"
@@ -42,6 +42,13 @@ def op1_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(bpe.encode_documents(load(spark, folder, "documents"), vocabulary_path()))
 
 
+@query("op6_langid")
+def op6_langid(spark: SparkSession, folder: str) -> DataFrame:
+    docs = pick(load(spark, folder, "documents"), "doc_id", "text", "lang")
+    found = langid.identify(docs.select("doc_id", "text"), langid.fit(docs))
+    return found.select("doc_id", langid.held_out("doc_id").alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_QUERIES)
 
