@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lossline import session
-from lossline.llm import bpe, langid
+from lossline.llm import bpe, langid, line_dedup
 from lossline.llm.common import load, pick
 
 #: Where the vocabulary files lie; a parameter, since they belong to another package.
@@ -49,6 +49,31 @@ def op6_langid(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", langid.held_out("doc_id").alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
 
 
+LINES_SQL = """
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS place
+  FROM documents
+), keyed AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM lines
+), hot AS (
+  SELECT key FROM keyed WHERE key <> '' GROUP BY key HAVING count(DISTINCT doc_id) >= 10
+)
+SELECT doc_id, count(*) AS n_lines, count(hot.key) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (hot.key IS NULL), '')) AS kept_sha256
+FROM keyed LEFT JOIN hot USING (key)
+GROUP BY doc_id
+"""
+
+
+@query("op2_line_dedup", LINES_SQL)
+def op2_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = pick(load(spark, folder, "documents"), "doc_id", "text")
+    kept = line_dedup.dedup_lines(docs, threshold=10, least=1)
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_QUERIES)
 
