@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lossline import session
-from lossline.llm import bpe, langid, line_dedup
+from lossline.llm import bpe, langid, line_dedup, near_dup
 from lossline.llm.common import load, pick
 
 #: Where the vocabulary files lie; a parameter, since they belong to another package.
@@ -74,6 +74,11 @@ def op2_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+@query("op10_near_dup")
+def op10_near_dup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dup.near_duplicates(load(spark, folder, "documents"), percent=85)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_QUERIES)
 
