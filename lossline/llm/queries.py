@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lossline import session
-from lossline.llm import bpe, langid, line_dedup, near_dup
+from lossline.llm import bpe, decontaminate, langid, line_dedup, near_dup
 from lossline.llm.common import load, pick
 
 #: Where the vocabulary files lie; a parameter, since they belong to another package.
@@ -79,6 +79,41 @@ def op10_near_dup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dup.near_duplicates(load(spark, folder, "documents"), percent=85)
 
 
+WINDOWS_SQL = """
+WITH doc_words AS (
+  SELECT doc_id, [x FOR x IN string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') IF x <> ''] AS w FROM documents
+), item_words AS (
+  SELECT item_id, [x FOR x IN string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') IF x <> ''] AS w FROM benchmark
+), item_windows AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS span, array_to_string(w[s : s + least(len(w), 10) - 1], ' ') AS words
+  FROM item_words, unnest(range(1, greatest(len(w) - 9, 1) + 1)) t(s) WHERE len(w) > 0
+), spans AS (SELECT DISTINCT span FROM item_windows
+), doc_windows AS (
+  SELECT doc_id, s, span, array_to_string(w[s : s + span - 1], ' ') AS words
+  FROM doc_words, spans, unnest(range(1, len(w) - span + 2)) t(s)
+), found AS (
+  SELECT doc_id, s, span, item_id FROM doc_windows JOIN item_windows USING (span, words)
+), hit AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + span)) AS p FROM found) GROUP BY doc_id
+), items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc_words LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+
+@query("op7_decontaminate", WINDOWS_SQL)
+def op7_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.decontaminate(load(spark, folder, "documents"), load(spark, folder, "benchmark"))
+    ids = F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256")
+    return found.select("doc_id", "n_words", "n_hit", "n_items", ids, "contaminated")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_QUERIES)
 
