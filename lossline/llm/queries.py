@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lossline import session
-from lossline.llm import bpe, decontaminate, langid, line_dedup, near_dup
+from lossline.llm import bpe, decontaminate, langid, line_dedup, near_dup, token_files
 from lossline.llm.common import load, pick
 
 #: Where the vocabulary files lie; a parameter, since they belong to another package.
@@ -114,6 +114,12 @@ def op7_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", ids, "contaminated")
 
 
+@query("op9_token_files")
+def op9_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    files = token_files.write_tokens(load(spark, folder, "documents"), vocabulary_path(), end_id=1)
+    return token_files.read_tokens(files).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_QUERIES)
 
