@@ -59,16 +59,16 @@ def ranked(df: DataFrame, rank: str, *order) -> DataFrame:
     placed = write(
         df.repartitionByRange(parts(df), *order)
         .sortWithinPartitions(*order)
-        .withColumn("_place", F.monotonically_increasing_id()),
+        .withColumn("__place", F.monotonically_increasing_id()),
         "ranked",
     )
-    part, at = F.shiftright("_place", 33), F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    part, at = F.shiftright("__place", 33), F.col("__place").bitwiseAND(F.lit((1 << 33) - 1))
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     totals = (
-        placed.groupBy(part.alias("_part"))
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
+        placed.groupBy(part.alias("__part"))
+        .agg(F.count(F.lit(1)).alias("__rows"))
+        .select("__part", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__before"))
     )
     # One row per partition: a size known from the session, whatever the rows.
-    joined = placed.withColumn("_part", part).withColumn("_at", at).join(F.broadcast(totals), "_part")
-    return joined.withColumn(rank, F.col("_before") + F.col("_at")).drop("_place", "_part", "_at", "_before")
+    joined = placed.withColumn("__part", part).withColumn("__at", at).join(F.broadcast(totals), "__part")
+    return joined.withColumn(rank, F.col("__before") + F.col("__at")).drop("__place", "__part", "__at", "__before")

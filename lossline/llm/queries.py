@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lossline import session
-from lossline.llm import bpe, chat, decontaminate, langid, line_dedup, near_dup, token_files
+from lossline.llm import bpe, chat, decontaminate, langid, line_dedup, near_dup, shards, token_files
 from lossline.llm.common import load, pick, write
 
 #: Where the vocabulary files lie; a parameter, since they belong to another package.
@@ -140,6 +140,13 @@ def op3_chat(spark: SparkSession, folder: str) -> DataFrame:
     return sizes.join(digests, F.expr("conv_id <=> t")).drop("t")
 
 
+@query("op8_shards")
+def op8_shards(spark: SparkSession, folder: str) -> DataFrame:
+    placed = shards.interleave(load(spark, folder, "documents"), shards=40)
+    none = F.lit(None).cast("int").alias("grown_shard")
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", none)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_QUERIES)
 
