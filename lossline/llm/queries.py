@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lossline import session
-from lossline.llm import bpe, chat, decontaminate, langid, line_dedup, near_dup, shards, token_files
+from lossline.llm import ball_tree, bpe, chat, decontaminate, langid, line_dedup, near_dup, shards, token_files
 from lossline.llm.common import load, pick, write
 
 #: Where the vocabulary files lie; a parameter, since they belong to another package.
@@ -147,6 +147,25 @@ def op8_shards(spark: SparkSession, folder: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", none)
 
 
+SEARCH_SQL = """
+WITH v AS (
+  SELECT vec_id, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS DOUBLE) FOR x IN embedding] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored) WHERE rank <= 10
+"""
+
+
+@query("op5_ball_tree", SEARCH_SQL)
+def op5_ball_tree(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = write(ball_tree.usable(load(spark, folder, "embeddings"), scale=1024), "vectors")
+    return ball_tree.search(vectors, vectors.filter("vec_id % 100 = 0"), k=10)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_QUERIES)
 
