@@ -30,11 +30,11 @@ def hidden(df: DataFrame, *names: str) -> tuple[DataFrame, list[str], list[str]]
     return df.toDF(*plain), df.columns, [plain[df.columns.index(name)] for name in names]
 
 
-def slices(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], text: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches into pieces of few rows and bytes (one long text may exceed the bytes alone)."""
     for batch in batches:
         sizes = batch.column(batch.schema.names.index(text)).nbytes
-        rows = max(1, min(SLICE_ROWS, int(SLICE_BYTES / max(1.0, sizes / max(1, batch.num_rows)))))
+        rows = max(1, min(SLICE_ROWS, int(limit / max(1.0, sizes / max(1, batch.num_rows)))))
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
 

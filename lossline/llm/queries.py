@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lossline import session
-from lossline.llm import ball_tree, bpe, chat, decontaminate, langid, line_dedup, near_dup, shards, token_files
+from lossline.llm import ball_tree, bpe, chat, decontaminate, langid, line_dedup, near_dup, recompression, shards, token_files
 from lossline.llm.common import load, pick, write
 
 #: Where the vocabulary files lie; a parameter, since they belong to another package.
@@ -166,6 +166,31 @@ def op5_ball_tree(spark: SparkSession, folder: str) -> DataFrame:
     return ball_tree.search(vectors, vectors.filter("vec_id % 100 = 0"), k=10)
 
 
+REPEATS_SQL = """
+WITH d AS (
+  SELECT doc_id, [x FOR x IN string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+') IF x <> ''] AS w FROM documents
+), windows AS (
+  SELECT doc_id, s, array_to_string(w[s : s + 34], ' ') AS t FROM d, unnest(range(1, len(w) - 33)) r(s)
+), twice AS (SELECT t FROM windows GROUP BY t HAVING count(*) > 1
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(s, s + 35)) AS p FROM windows SEMI JOIN twice USING (t)
+), words AS (
+  SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM d
+), kept AS (
+  SELECT doc_id, count(gone.p) AS n_removed, string_agg(word, ' ' ORDER BY words.p) FILTER (gone.p IS NULL) AS kept
+  FROM words LEFT JOIN gone USING (doc_id, p) GROUP BY doc_id
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
+
+@query("op4_recompression", REPEATS_SQL)
+def op4_recompression(spark: SparkSession, folder: str) -> DataFrame:
+    kept = recompression.remove_repeats(pick(load(spark, folder, "documents"), "doc_id", "text"), window=35)
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_QUERIES)
 
