@@ -21,6 +21,8 @@ WORDS = 5
 #: Bands of ROWS values; at a similarity of 0.85, 1 pair in 2.6 million shares no band.
 BANDS, ROWS = 20, 4
 SLOTS = BANDS * ROWS
+#: Pivots of a bucket in the first round; each later round has as many times more.
+PIVOTS = 16
 PLACES = np.random.default_rng(5).integers(1, 1 << 62, WORDS + 1, dtype=np.uint64) | np.uint64(1)
 
 
@@ -145,7 +147,7 @@ def components(edges: DataFrame) -> DataFrame:
         seen = state
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         now = write(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "star")
@@ -203,15 +205,13 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     close = F.least("n", "pn") * 100 >= F.greatest("n", "pn") * percent
     pairs = members.filter((F.col("rep") != F.col("pivot")) & close).select(F.col("pivot").alias("a"), F.col("rep").alias("b"))
     pairs = write(pairs.distinct(), "pairs")
-    edges = write(links.confirm(pairs), "links")
-    labels = components(edges)
+    labels = components(links.confirm(pairs))
     live = members.filter(F.col("rep") != F.col("pivot")).select("key", "rep", "n", "label")
     live = _undecided(_relabel(live, labels))
-    some, first_round = 1, True
+    if live.limit(1).count():
+        live = _without_loners(live, links)
+    some = PIVOTS
     while live.limit(1).count():
-        if first_round:
-            live = _without_loners(live, links)
-            first_round = False
         pivot_of = (
             live.groupBy("key", F.pmod(F.xxhash64("rep", F.lit(some)), F.lit(some)).alias("part"))
             .agg(F.min(F.struct("own", "rep", "n", "label")).alias("p"))
@@ -228,13 +228,13 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
         )
         new = write(new, "pairs")
         pairs = pairs.unionByName(new)
-        found = links.confirm(new)
-        edges = write(edges.unionByName(found), "links")
-        labels = components(edges)
-        done = pivot_of.select("key", F.col("pivot").alias("rep"))
-        live = live.join(done, ["key", "rep"], "left_anti").withColumn("label", F.col("rep"))
-        live = _undecided(_relabel(live, labels))
-        some *= 4
+        found = write(links.confirm(new), "links")
+        live = live.join(pivot_of.select("key", F.col("pivot").alias("rep")), ["key", "rep"], "left_anti")
+        if found.limit(1).count():
+            labels = components(found.unionByName(labels.select(F.col("node").alias("a"), F.col("label").alias("b"))))
+            live = _relabel(live.withColumn("label", F.col("rep")), labels)
+        live = _undecided(live)
+        some *= PIVOTS
 
     named = classes.select("s1", "s2", F.col("rep").alias("label"))
     out = rows.join(_relabel(named, labels), ["s1", "s2"], "left")
@@ -253,18 +253,14 @@ def _without_loners(live: DataFrame, links: _Links) -> DataFrame:
 
     A partner has at least as many shingles as the smallest member of the bucket, and shares at most n - own.
     """
-    for _ in range(2):  # the second pass sees fewer classes, so more shingles are a class's own
-        kept = live.select("rep").distinct()
-        single = (
-            links.sets.join(kept, "rep", "left_semi")
-            .select("rep", F.explode("shingles").alias("shingle"))
-            .groupBy("shingle")
-            .agg(F.count(F.lit(1)).alias("c"), F.min("rep").alias("rep"))
-            .filter("c = 1")
-        )
-        own = single.groupBy("rep").agg(F.count(F.lit(1)).alias("own"))
-        counted = live.drop("own").join(own, "rep", "left").withColumn("own", F.coalesce("own", F.lit(0)))
-        least = counted.groupBy("key").agg(F.min("n").alias("least"))
-        counted = counted.join(least, "key").filter(links.possible("n", "least", F.col("n") - F.col("own"))).drop("least")
-        live = write(counted, "undecided")
-    return _undecided(live)
+    single = (
+        links.sets.join(live.select("rep").distinct(), "rep", "left_semi")
+        .select("rep", F.explode("shingles").alias("shingle"))
+        .groupBy("shingle")
+        .agg(F.count(F.lit(1)).alias("c"), F.min("rep").alias("rep"))
+        .filter("c = 1")
+    )
+    own = single.groupBy("rep").agg(F.count(F.lit(1)).alias("own"))
+    counted = live.join(own, "rep", "left").withColumn("own", F.coalesce("own", F.lit(0)))
+    least = counted.groupBy("key").agg(F.min("n").alias("least"))
+    return _undecided(counted.join(least, "key").filter(links.possible("n", "least", F.col("n") - F.col("own"))).drop("least"))
