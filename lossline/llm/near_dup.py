@@ -21,8 +21,10 @@ WORDS = 5
 #: Bands of ROWS values; at a similarity of 0.85, 1 pair in 2.6 million shares no band.
 BANDS, ROWS = 20, 4
 SLOTS = BANDS * ROWS
+#: Two sets have at most the sum of the smaller counts of each part in common.
+PARTS = 128
 #: Pivots of a bucket in the first round; each later round has as many times more.
-PIVOTS = 16
+PIVOTS = 64
 PLACES = np.random.default_rng(5).integers(1, 1 << 62, WORDS + 1, dtype=np.uint64) | np.uint64(1)
 
 
@@ -119,7 +121,8 @@ def sketches(docs: DataFrame) -> DataFrame:
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """rep, shingles: the whole set of each wanted document (wanted: rep, s1), one row each."""
+    """rep, shingles, counts: the whole set of each wanted document (wanted: rep, s1), one row each, and how many of its
+    shingles fall into each of PARTS parts of all hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
@@ -127,10 +130,13 @@ def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             sums = np.r_[np.uint64(0), np.cumsum(mix(values ^ np.uint64(0x51)), dtype=np.uint64)]
             same = (sums[first[1:]] - sums[first[:-1]]).view(np.int64) == batch.column(2).to_numpy()
             sets = pa.ListArray.from_arrays(first.astype(np.int32), pa.array(values.view(np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), sets], names=["rep", "shingles"]).filter(pa.array(same))
+            part = (values >> np.uint64(40)).astype(np.int64) % PARTS + np.repeat(np.arange(len(same)) * PARTS, np.diff(first))
+            counts = np.bincount(part, minlength=len(same) * PARTS).astype(np.int32)
+            counts = pa.ListArray.from_arrays(np.arange(0, counts.size + 1, PARTS, dtype=np.int32), pa.array(counts))
+            yield pa.RecordBatch.from_arrays([batch.column(0), sets, counts], names=["rep", "shingles", "counts"]).filter(pa.array(same))
 
     rows = _read(docs).join(wanted.withColumnRenamed("rep", "doc_id"), "doc_id")
-    return rows.select("doc_id", "text", "s1").mapInArrow(run, "rep long, shingles array<long>").dropDuplicates(["rep"])
+    return rows.select("doc_id", "text", "s1").mapInArrow(run, "rep long, shingles array<long>, counts array<int>").dropDuplicates(["rep"])
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -214,14 +220,16 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     while live.limit(1).count():
         pivot_of = (
             live.groupBy("key", F.pmod(F.xxhash64("rep", F.lit(some)), F.lit(some)).alias("part"))
-            .agg(F.min(F.struct("own", "rep", "n", "label")).alias("p"))
-            .select("key", F.col("p.rep").alias("pivot"), F.col("p.n").alias("pn"), F.col("p.own").alias("pown"), F.col("p.label").alias("plabel"))
+            .agg(F.min(F.struct("own", "rep", "n", "label", "counts")).alias("p"))
+            .select("key", F.col("p.rep").alias("pivot"), F.col("p.n").alias("pn"), F.col("p.own").alias("pown"), F.col("p.label").alias("plabel"), F.col("p.counts").alias("pcounts"))
         )
         pivot_of = write(pivot_of, "pivots")
         common = F.least(F.col("n") - F.col("own"), F.col("pn") - F.col("pown"))
+        smaller = F.aggregate(F.zip_with("counts", "pcounts", lambda a, b: F.least(a, b)), F.lit(0), lambda a, b: a + b)
+        apart = F.col("label") != F.col("plabel")
         new = (
             live.join(pivot_of, "key")
-            .filter((F.col("label") != F.col("plabel")) & links.possible("n", "pn", common))
+            .filter(F.when(apart & links.possible("n", "pn", common), links.possible("n", "pn", smaller)).otherwise(False))
             .select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b"))
             .distinct()
             .join(pairs, ["a", "b"], "left_anti")
@@ -263,4 +271,5 @@ def _without_loners(live: DataFrame, links: _Links) -> DataFrame:
     own = single.groupBy("rep").agg(F.count(F.lit(1)).alias("own"))
     counted = live.join(own, "rep", "left").withColumn("own", F.coalesce("own", F.lit(0)))
     least = counted.groupBy("key").agg(F.min("n").alias("least"))
-    return _undecided(counted.join(least, "key").filter(links.possible("n", "least", F.col("n") - F.col("own"))).drop("least"))
+    able = counted.join(least, "key").filter(links.possible("n", "least", F.col("n") - F.col("own"))).drop("least")
+    return _undecided(able.join(links.sets.select("rep", "counts"), "rep"))
