@@ -103,29 +103,32 @@ def paths(nodes: DataFrame, best: int = 1) -> DataFrame:
         "o.tree", "o.node", F.when(F.col("h._there"), F.col("o.parent")).alias("up"), F.coalesce("o.score", F.lit(0.0)).cast("double").alias("total"),
         F.lit(1).cast("long").alias("depth"),
     )
-    hops = [write(start, "hops")]
-    rows = hops[0].count()
-    longest = 1
-    while hops[-1].filter("up IS NOT NULL").limit(1).count() and longest <= rows:
-        below, above = hops[-1].alias("b"), hops[-1].alias("a")
-        doubled = below.join(above, F.expr("b.tree <=> a.tree AND b.up = a.node"), "left").select(
+    known = write(start, "hops")  # every node, with its ancestor so far
+    hops, longest, rows = [], 1, known.count()
+    while True:
+        # Nodes that hang on a root already are looked up, but don't go on.
+        hops.append(known.filter("up IS NOT NULL"))
+        if longest > rows or not hops[-1].limit(1).count():
+            break
+        below, above = hops[-1].alias("b"), known.alias("a")
+        doubled = below.join(above, F.expr("b.tree <=> a.tree AND b.up = a.node")).select(
             "b.tree",
             "b.node",
-            F.col("a.up").alias("up"),
-            (F.col("b.total") + F.coalesce("a.total", F.lit(0.0))).alias("total"),
-            (F.col("b.depth") + F.coalesce("a.depth", F.lit(0))).alias("depth"),
+            "a.up",
+            (F.col("b.total") + F.col("a.total")).alias("total"),
+            (F.col("b.depth") + F.col("a.depth")).alias("depth"),
         )
-        hops.append(write(doubled, "hops"))
+        known = write(known.filter("up IS NULL").unionByName(doubled), "hops")
         longest *= 2
-    replied = hops[0].filter("up IS NOT NULL").select(F.col("tree").alias("t"), F.col("up").alias("n")).distinct()
-    last = hops[-1].filter("up IS NULL")
+    replied = hops[0].select(F.col("tree").alias("t"), F.col("up").alias("n")).distinct()
+    last = known.filter("up IS NULL")
     leaves = last.join(replied, F.expr("tree <=> t AND node = n"), "left_anti")
     ranked = Window.partitionBy("tree").orderBy(F.desc(F.col("total") / F.col("depth")), "node")
     chosen = leaves.withColumn("path", F.row_number().over(ranked)).filter(F.col("path") <= best)
     # Every distance is one sum of powers of two, so each ancestor is reached once.
     reached = chosen.select("tree", "path", F.col("node").alias("leaf"), "node")
     for hop in reversed(hops[:-1]):
-        up = hop.filter("up IS NOT NULL").select(F.col("tree").alias("t"), F.col("node").alias("n"), "up")
+        up = hop.select(F.col("tree").alias("t"), F.col("node").alias("n"), "up")
         further = reached.join(up, F.expr("tree <=> t AND node = n")).select("tree", "path", "leaf", F.col("up").alias("node"))
         reached = write(reached.unionByName(further), "paths")
     depths = last.select(F.col("tree").alias("t"), F.col("node").alias("n"), "depth")
