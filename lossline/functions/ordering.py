@@ -1,158 +1,59 @@
 """Order statistics over a whole table, without moving the table into one task.
 
-A plain ``Window.orderBy`` with no partition sends every row to a single task. Here the
-rows are cut into ranges of the sort key first. The cut points are numbers fixed once on
-the driver (they come from a mergeable quantile sketch, one row per pass), so a task that is run
-again puts each row in the same range as before. Inside a range an ordinary window gives
-the local position; the totals of the ranges before it are added from a table with one row
-per range. The result is exact: only the *sizes* of the ranges depend on the sketch.
-
-A value of the first key that fills more than one range (a heavy tie) is cut again by the
-next key. The keys together must identify a row; keys after the first must not be null.
+A plain ``Window.orderBy`` with no partition sends every row to a single task. Here the rows are
+dealt out by range of all sort keys, sorted, and written to the shared folder with their place: a
+task that runs again, or a second reader, sees each row where it was. The totals of the partitions
+before it turn a local position or running total into that of the whole table; they are a table of
+one row per partition. Keys are compared as what they are (numbers of any width, text, dates), nulls
+first; a heavy tie of the first key is cut by the next one, so the keys together should tell rows apart.
 """
 
 from __future__ import annotations
 
-from collections import Counter
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-DEFAULT_RANGES = 64
-ROWS_PER_RANGE = 2_000_000
-MAX_RANGES = 16_384
-LAST = 2**31 - 1
-
-_POS, _RANGE, _BASE = "_ord_pos", "_ord_range", "_ord_base"
-
-
-@dataclass(frozen=True)
-class Cuts:
-    """Ascending cut points. Entry () cuts the first key; entry (v,) cuts the second key
-    within the heavy value v of the first, and so on."""
-
-    keys: tuple[str, ...]
-    points: dict[tuple[float, ...], tuple[float, ...]]
-    rows: int
-
-
-def _number(df: DataFrame, key: str) -> Column:
-    """A double that never decreases as the key grows (nulls lowest): all a cut needs."""
-    kind = df.schema[key].dataType.typeName()
-    col = F.col(key)
-    if kind == "date":
-        col = F.unix_date(col)
-    elif kind == "timestamp":
-        col = F.unix_micros(col)
-    elif kind in ("string", "binary", "boolean"):
-        raise TypeError(f"sort key {key} must be numeric, date or timestamp, not {kind}")
-    return F.coalesce(col.cast("double"), F.lit(float("-inf")))
-
-
-def _sketch(value: Column, ranges: int) -> Column:
-    shares = F.expr(f"array({', '.join(f'{i / ranges!r}D' for i in range(1, ranges))})")
-    return F.percentile_approx(value, shares, max(10_000, 10 * ranges))
+from lossline.session import materialise
 
+_PLACE, _PART, _POS, _BASE, _ALL = "_ord_place", "_ord_part", "_ord_pos", "_ord_base", "_ord_all"
 
-def range_cuts(df: DataFrame, keys: list[str], ranges: int | None = None) -> Cuts:
-    """Cut points that split df into ranges of about equal size by its sort keys.
 
-    The number of ranges grows with the table. A further pass is made for the next key only
-    where single values of the keys before it fill several ranges.
-    """
-    numbers = [_number(df, k) for k in keys]
-    first = df.agg(F.count("*").alias("n"), _sketch(numbers[0], ranges or DEFAULT_RANGES).alias("q")).first()
-    rows, found = first["n"], first["q"] or []
-    wanted = ranges or min(MAX_RANGES, -(-rows // ROWS_PER_RANGE))
-    if wanted > (ranges or DEFAULT_RANGES):
-        found = df.agg(_sketch(numbers[0], wanted).alias("q")).first()["q"]
-    points = {(): tuple(sorted(set(found)))}
-    level = {(): found}
-    for depth in range(1, len(keys)):
-        heavy = {prefix + (p,): n for prefix, q in level.items() for p, n in Counter(q).items() if n > 1}
-        if not heavy:
-            break
-        names = [f"_k{i}" for i in range(depth)]
-        prefix = F.array(*numbers[:depth])
-        tied = df.filter(prefix.isin([F.array(*[F.lit(x) for x in h]) for h in heavy]))
-        inner = (
-            tied.groupBy(*[numbers[i].alias(names[i]) for i in range(depth)])
-            .agg(_sketch(numbers[depth], max(heavy.values()) + 1).alias("q"))
-            .collect()  # one row per heavy value: fewer than half the number of ranges
-        )
-        level = {tuple(row[n] for n in names): row["q"] or [] for row in inner}
-        points.update({prefix: tuple(sorted(set(q))) for prefix, q in level.items()})
-    return Cuts(tuple(keys), points, rows)
-
-
-def _literal(points: tuple[float, ...]) -> str:
-    return "array(" + ", ".join(f"double('{p!r}')" for p in points) + ")"
-
-
-def _position(value: Column, points: tuple[float, ...]) -> Column:
-    """How many cut points are <= value, in about 2 * sqrt(n) comparisons."""
-    n = len(points)
-    if n == 0:
-        return F.lit(0)
-    step = max(1, int(n**0.5))
-    blocks = [points[i : i + step] for i in range(0, n, step)]
-    heads = F.expr(_literal(tuple(b[0] for b in blocks)))
-    block = F.size(F.filter(heads, lambda p: p <= value))
-    inside = F.expr("array(" + ", ".join(_literal(b) for b in blocks) + ")")
-    chosen = F.element_at(inside, F.greatest(block, F.lit(1)))
-    return F.when(block == 0, 0).otherwise((block - 1) * step + F.size(F.filter(chosen, lambda p: p <= value)))
+def _dealt(df: DataFrame, keys: list[str], ranges: int | None) -> DataFrame:
+    """Rows with _PLACE (partition and position in it) and _PART, in the order of the keys.
 
-
-def range_number(df: DataFrame, cuts: Cuts) -> Column:
-    """Array of range positions, one per key level in use; arrays compare in sort order.
-
-    A heavy value is itself a cut point, so it opens its range: the other rows of that range
-    are larger and take the last position of the next level.
+    ranges: partitions to deal out to; by default as many as the session has for a shuffle.
     """
-    numbers = [_number(df, k) for k in cuts.keys]
-    levels = [F.lit(LAST)] * (1 + max(len(prefix) for prefix in cuts.points))
-    for prefix, points in cuts.points.items():
-        place = _position(numbers[len(prefix)], points)
-        for number, value in zip(numbers, prefix):
-            place = F.when(number == value, place)
-        levels[len(prefix)] = F.coalesce(place, levels[len(prefix)])
-    return F.array(*[level.cast("int") for level in levels])
-
-
-def _sort(keys: list[str]) -> list[Column]:
-    return [F.col(keys[0]).asc_nulls_first()] + [F.col(k).asc() for k in keys[1:]]
+    order = [F.col(k).asc_nulls_first() for k in keys]
+    spread = df.repartitionByRange(ranges, *order) if ranges else df.repartitionByRange(*order)
+    sorted_rows = spread.sortWithinPartitions(*order).withColumn(_PLACE, F.monotonically_increasing_id())
+    # The upper bits of that id are the number of the partition, the lower 33 the row in it.
+    return materialise(sorted_rows, "ordered").withColumn(_PART, F.shiftright(_PLACE, 33))
+
+
+def _before(dealt: DataFrame, total: Column, how: str = "sum") -> DataFrame:
+    """Per partition the total of those before it, and of all; one row per partition, so it can be broadcast."""
+    per_part = dealt.groupBy(_PART).agg(total.alias("_t"))
+    everything = Window.partitionBy(F.lit(0))
+    before = everything.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
+    function = {"sum": F.sum, "max": F.max}[how]
+    return F.broadcast(per_part.select(_PART, function("_t").over(before).alias(_BASE), function("_t").over(everything).alias(_ALL)))
 
 
-def _prepare(df: DataFrame, keys: list[str], ranges: int | None, cuts: Cuts | None) -> tuple[DataFrame, Cuts]:
-    cuts = cuts or range_cuts(df, keys, ranges)
-    # A generator of one row: the range is computed once and is opaque to filter inference.
-    return df.select("*", F.inline(F.array(F.struct(range_number(df, cuts).alias(_RANGE))))), cuts
+def _numbered(df: DataFrame, keys: list[str], name: str, ranges: int | None) -> DataFrame:
+    """Rows with their position from 1 in name, and the number of all rows in _ALL."""
+    dealt = _dealt(df, keys, ranges)
+    place = F.col(_PLACE).bitwiseAND(F.lit((1 << 33) - 1)) + 1
+    joined = dealt.join(_before(dealt, F.count("*")), _PART)
+    return joined.withColumn(name, place + F.coalesce(_BASE, F.lit(0))).drop(_PLACE, _PART, _BASE)
 
 
-def _with_base(ranged: DataFrame, totals: list[Column], bases: list[tuple[str, str, str]], keep: list[str]) -> DataFrame:
-    """Join each range with the totals of the ranges before it (one row per range: broadcast)."""
-    per_range = ranged.groupBy(_RANGE, *keep).agg(*totals)
-    before = Window.partitionBy(*keep) if keep else Window.partitionBy(F.lit(0))
-    before = before.orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
-    functions = {"sum": F.sum, "max": F.max}
-    return per_range.select(
-        _RANGE, *keep, *[functions[how](total).over(before).alias(base) for total, base, how in bases]
-    )
+def ord_row_number(df: DataFrame, keys: list[str], name: str = "row_number", ranges: int | None = None) -> DataFrame:
+    """Position of each row (from 1) when the whole table is sorted by keys, nulls first."""
+    return _numbered(df, keys, name, ranges).drop(_ALL)
 
 
-def ord_row_number(
-    df: DataFrame, keys: list[str], name: str = "row_number", ranges: int | None = None, cuts: Cuts | None = None
-) -> DataFrame:
-    """Position of each row (from 1) when the whole table is sorted by keys, nulls first."""
-    ranged, _ = _prepare(df, keys, ranges, cuts)
-    base = _with_base(ranged, [F.count("*").alias("n")], [("n", _BASE, "sum")], [])
-    local = F.row_number().over(Window.partitionBy(_RANGE).orderBy(*_sort(keys)))
-    return (
-        ranged.withColumn(_POS, local)
-        .join(F.broadcast(base), _RANGE)
-        .withColumn(name, (F.col(_POS) + F.coalesce(_BASE, F.lit(0))).cast("bigint"))
-        .drop(_POS, _BASE, _RANGE)
-    )
+def ord_rank_of_all(df: DataFrame, keys: list[str], name: str, rows: str, ranges: int | None = None) -> DataFrame:
+    """As ord_row_number, with the number of all rows in a further column."""
+    return _numbered(df, keys, name, ranges).withColumnRenamed(_ALL, rows)
 
 
 def tile_of_rank(rank: Column, rows: Column | int, tiles: int) -> Column:
@@ -171,9 +72,8 @@ def tile_of_rank(rank: Column, rows: Column | int, tiles: int) -> Column:
 
 def ord_ntile(df: DataFrame, keys: list[str], tiles: int, name: str = "tile", ranges: int | None = None) -> DataFrame:
     """NTILE over the whole table sorted by keys."""
-    cuts = range_cuts(df, keys, ranges)
-    ranked = ord_row_number(df, keys, "_ord_rank", cuts=cuts)
-    return ranked.withColumn(name, tile_of_rank(F.col("_ord_rank"), cuts.rows, tiles)).drop("_ord_rank")
+    ranked = _numbered(df, keys, "_ord_rank", ranges)
+    return ranked.withColumn(name, tile_of_rank(F.col("_ord_rank"), F.col(_ALL), tiles)).drop("_ord_rank", _ALL)
 
 
 def ord_running(
@@ -187,20 +87,18 @@ def ord_running(
 ) -> DataFrame:
     """Running sum or maximum of value over the whole table sorted by keys."""
     function = {"sum": F.sum, "max": F.max}[how]
-    ranged, _ = _prepare(df, keys, ranges, None)
-    base = _with_base(ranged, [function(value).alias("t")], [("t", _BASE, how)], [])
-    frame = Window.partitionBy(_RANGE).orderBy(*_sort(keys))
-    frame = frame.rowsBetween(Window.unboundedPreceding, 0 if include_current else -1)
+    dealt = _dealt(df, keys, ranges)
+    frame = Window.partitionBy(_PART).orderBy(_PLACE).rowsBetween(Window.unboundedPreceding, 0 if include_current else -1)
     local, before = F.col(_POS), F.col(_BASE)
     if how == "sum":
         joined = F.when(before.isNull(), local).when(local.isNull(), before).otherwise(local + before)
     else:
         joined = F.greatest(local, before)
     return (
-        ranged.withColumn(_POS, function(value).over(frame))
-        .join(F.broadcast(base), _RANGE)
+        dealt.withColumn(_POS, function(value).over(frame))
+        .join(_before(dealt, function(value), how), _PART)
         .withColumn(name, joined)
-        .drop(_POS, _BASE, _RANGE)
+        .drop(_PLACE, _PART, _POS, _BASE, _ALL)
     )
 
 
@@ -208,67 +106,26 @@ def ord_running_sum(df: DataFrame, keys: list[str], value: str, name: str = "run
     return ord_running(df, keys, value, name, "sum", **more)
 
 
-# --- running totals within a key that may be hot -----------------------------------------
-
-HOT_ROWS = 5_000_000
-TRACKED_KEYS = 10_000
-REPORTED_KEYS = 1_000
-
+def keyed_running(df: DataFrame, key: str, order: list[str], value: str, sum_name: str, rank_name: str) -> DataFrame:
+    """Running sum and row number per key, for keys of any number of rows.
 
-def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> list:
-    """Key values that hold more rows than one task should sort, found with a frequency sketch.
-
-    The sketch is merged map-side: no row is shuffled, and at most REPORTED_KEYS come back.
+    Every key is treated alike: its rows are windowed per value of the first order column (a day), and the totals of
+    the days before come from a table with one row per key and day, which is summed before it is shuffled.
     """
-    items = df.agg(F.expr(f"approx_top_k({key}, {REPORTED_KEYS}, {TRACKED_KEYS})").alias("top")).first()["top"]
-    return [entry["item"] for entry in items or [] if entry["item"] is not None and entry["count"] > hot_rows]
-
-
-def keyed_running(
-    df: DataFrame,
-    key: str,
-    order: list[str],
-    value: str,
-    sum_name: str,
-    rank_name: str,
-    hot: list | None = None,
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
-    """Running sum and row number per key.
-
-    Ordinary keys use one window per key. Keys with more than hot_rows rows are cut into
-    ranges of the order columns, summed per range and put together again, so that no task
-    ever sorts a whole hot key.
-    """
-    hot = hot_keys(df, key, hot_rows) if hot is None else hot
-    order_by = [F.col(c) for c in order]
-
-    def local(frame: DataFrame, *by: str) -> DataFrame:
-        window = Window.partitionBy(*by).orderBy(*order_by).rowsBetween(Window.unboundedPreceding, 0)
-        return frame.withColumn(sum_name, F.sum(value).over(window)).withColumn(
-            rank_name, F.row_number().over(window).cast("bigint")
-        )
-
-    if not hot:
-        return local(df, key)
-    is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
-    ordinary = local(df.filter(~is_hot), key)
-    ranged, _ = _prepare(df.filter(is_hot), order, None, None)
-    base = _with_base(
-        ranged,
-        [F.sum(value).alias("s"), F.count("*").alias("n")],
-        [("s", "_base_sum", "sum"), ("n", "_base_rank", "sum")],
-        [key],
+    day, kind = order[0], df.schema[value].dataType
+    daily = df.groupBy(key, day).agg(F.sum(value).alias("_sum"), F.count("*").alias("_rows"))
+    before = Window.partitionBy(key).orderBy(F.col(day).asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    base = daily.select(
+        F.col(key).alias("_key"), F.col(day).alias("_day"), F.sum("_sum").over(before).alias("_base_sum"), F.sum("_rows").over(before).alias("_base_rank")
     )
-    kind = df.schema[value].dataType
-    # at most len(hot) * ranges rows
-    split = (
-        local(ranged, key, _RANGE)
-        .join(F.broadcast(base), [key, _RANGE])
-        .withColumn(sum_name, F.col(sum_name) + F.coalesce("_base_sum", F.lit(0).cast(kind)))
-        .withColumn(rank_name, F.col(rank_name) + F.coalesce("_base_rank", F.lit(0)))
-        .drop("_base_sum", "_base_rank", _RANGE)
+    within = Window.partitionBy(key, day).orderBy(*[F.col(c) for c in order[1:]]).rowsBetween(Window.unboundedPreceding, 0)
+    local = df.withColumn("_local", F.sum(value).over(within)).withColumn("_n", F.row_number().over(within).cast("bigint"))
+    whole = F.sum(value).over(within)  # its type is that of a sum
+    sum_type = df.select(whole.alias("x")).schema["x"].dataType if kind.typeName() == "decimal" else None
+    total = F.when(F.col("_base_sum").isNull(), F.col("_local")).when(F.col("_local").isNull(), F.col("_base_sum")).otherwise(F.col("_local") + F.col("_base_sum"))
+    return (
+        local.join(base, F.col(key).eqNullSafe(F.col("_key")) & F.col(day).eqNullSafe(F.col("_day")))
+        .withColumn(sum_name, total.cast(sum_type) if sum_type else total)
+        .withColumn(rank_name, F.col("_n") + F.coalesce("_base_rank", F.lit(0)))
+        .drop("_key", "_day", "_base_sum", "_base_rank", "_local", "_n")
     )
-    out = ordinary.columns
-    sum_type = ordinary.schema[sum_name].dataType
-    return ordinary.unionByName(split.withColumn(sum_name, F.col(sum_name).cast(sum_type)).select(*out))

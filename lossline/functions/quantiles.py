@@ -1,120 +1,23 @@
-"""Exact quantiles of large tables by narrowing, in place of collecting all values of a group."""
+"""Exact medians of large tables: the rows at the middle ranks, found by ranks over the whole table."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-SMALL_ENOUGH = 200_000
+from lossline.functions.ordering import ord_row_number
 
 
-def exact_medians(df: DataFrame, columns: list[str], small_enough: int = SMALL_ENOUGH) -> dict[str, float | None]:
-    """Exact median (mean of the two middle values for an even count) of numeric columns.
+def exact_medians(df: DataFrame, columns: list[str], by: str | None = None, ranges: int | None = None) -> DataFrame:
+    """group, name, median: the mean of the two middle values of each column, within each value of `by` if given.
 
-    All columns are narrowed together. Each pass is one aggregation: a mergeable quantile
-    sketch brackets the middle rank, exact counts below and inside the bracket confirm it. When
-    few enough values are left inside, an exact percentile over those alone ends the search.
-    Null and NaN values do not count.
+    All columns and groups are ranked in one pass over (group, name, value). Null and NaN values do not count; a column
+    without others has no row. Without `by`, group is an empty text.
     """
-    state = {c: {"low": None, "high": None, "below": 0} for c in columns}
-    totals = df.agg(*[F.count(_clean(c)).alias(c) for c in columns]).first()
-    result: dict[str, float | None] = {c: None for c in columns if not totals[c]}
-    inside = {c: totals[c] for c in columns if totals[c]}
-    while inside:
-        ready = [c for c in inside if inside[c] <= small_enough]
-        if ready:
-            result.update(_finish(df, ready, state, totals, inside))
-            inside = {c: n for c, n in inside.items() if c not in ready}
-            continue
-        inside = _narrow(df, list(inside), state, totals, inside, result)
-    return result
-
-
-def _clean(name: str):
-    value = F.col(name).cast("double")
-    return F.when(~F.isnan(value), value)
-
-
-def _bracketed(name: str, bounds: dict):
-    value = _clean(name)
-    if bounds["low"] is not None:
-        value = F.when(value >= bounds["low"], value)
-    if bounds["high"] is not None:
-        value = F.when(value <= bounds["high"], value)
-    return value
-
-
-def _middle(total: int) -> tuple[int, int]:
-    """Ranks (from 0) of the two middle values; equal for an odd count."""
-    return (total - 1) // 2, total // 2
-
-
-def _narrow(df, names, state, totals, inside, result):
-    shares = {}
-    for c in names:
-        low, high = _middle(totals[c])
-        n = inside[c]
-        shares[c] = (
-            max(0.0, (low - state[c]["below"]) / n - 0.001),
-            min(1.0, (high - state[c]["below"] + 1) / n + 0.001),
-        )
-    sketch = df.agg(
-        *[F.percentile_approx(_bracketed(c, state[c]), list(shares[c]), 10_000).alias(c) for c in names]
-    ).first()
-    tries = {c: tuple(sketch[c]) for c in names}
-    counts = df.agg(
-        *[F.count(F.when(_clean(c) < tries[c][0], 1)).alias(f"{c}_below") for c in names],
-        *[F.count(F.when(_clean(c).between(*tries[c]), 1)).alias(f"{c}_in") for c in names],
-    ).first()
-    left = {}
-    for c in names:
-        low, high = _middle(totals[c])
-        below, within = counts[f"{c}_below"], counts[f"{c}_in"]
-        if not (below <= low and high < below + within):
-            raise ArithmeticError(f"quantile bracket missed the middle of {c}")
-        if tries[c][0] == tries[c][1]:
-            result[c] = tries[c][0]
-            continue
-        if within >= inside[c]:
-            # The bracket holds every value left: cut at its own midpoint instead.
-            tries[c], below, within = _halve(df, c, tries[c], low, high)
-            if tries[c][0] == tries[c][1]:
-                result[c] = tries[c][0]
-                continue
-            if within >= inside[c]:
-                result.update(_finish(df, [c], {c: {"low": tries[c][0], "high": tries[c][1], "below": below}},
-                                      totals, {c: within}))
-                continue
-        state[c] = {"low": tries[c][0], "high": tries[c][1], "below": below}
-        left[c] = within
-    return left
-
-
-def _halve(df, name, bracket, low, high):
-    value = _clean(name)
-    middle = bracket[0] + (bracket[1] - bracket[0]) / 2
-    row = df.agg(
-        F.count(F.when(value < bracket[0], 1)).alias("below"),
-        F.count(F.when(value.between(bracket[0], middle), 1)).alias("left"),
-        F.count(F.when((value > middle) & (value <= bracket[1]), 1)).alias("right"),
-        F.max(F.when(value <= middle, value)).alias("left_max"),
-        F.min(F.when(value > middle, value)).alias("right_min"),
-    ).first()
-    if high < row["below"] + row["left"]:
-        return (bracket[0], row["left_max"]), row["below"], row["left"]
-    if low >= row["below"] + row["left"]:
-        return (row["right_min"], bracket[1]), row["below"] + row["left"], row["right"]
-    return (row["left_max"], row["right_min"]), row["below"], row["left"] + row["right"]
-
-
-def _finish(df, names, state, totals, inside):
-    """Pick the two middle ranks among the few values left, by discrete percentile."""
-    wanted = []
-    for c in names:
-        df = df.withColumn(f"_in_{c}", _bracketed(c, state[c]))
-        for tag, rank in zip(("low", "high"), _middle(totals[c])):
-            share = (rank - state[c]["below"] + 0.5) / inside[c]
-            wanted.append(
-                F.expr(f"percentile_disc({share!r}D) WITHIN GROUP (ORDER BY `_in_{c}`)").alias(f"{c}_{tag}")
-            )
-    row = df.agg(*wanted).first()
-    return {c: (row[f"{c}_low"] + row[f"{c}_high"]) / 2 for c in names}
+    group = F.coalesce(F.col(by).cast("string"), F.lit("")) if by else F.lit("")
+    named = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("value")) for c in columns])
+    values = df.select(group.alias("group"), F.inline(named)).filter(F.col("value").isNotNull() & ~F.isnan("value"))
+    ranked = ord_row_number(values, ["group", "name", "value"], "rank", ranges)
+    size = ranked.groupBy("group", "name").agg(F.min("rank").alias("first"), F.count("*").alias("n"))
+    place = F.col("rank") - F.col("first")
+    middle = place.isin(F.expr("(n - 1) div 2"), F.expr("n div 2"))
+    return ranked.join(size, ["group", "name"]).filter(middle).groupBy("group", "name").agg(F.avg("value").alias("median"))

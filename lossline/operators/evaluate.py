@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from lossline.config import Config
 from lossline.functions.columns import ratio
-from lossline.functions.ordering import ord_row_number, range_cuts
+from lossline.functions.ordering import ord_rank_of_all
 from lossline.functions.quantiles import exact_medians
 
 
@@ -78,8 +78,7 @@ def model_evaluation(training: DataFrame, predictions: DataFrame) -> DataFrame:
 
 def _ranked(df: DataFrame, actual: str, predicted: str, key: str, ranges: int | None):
     narrow = df.select(F.col(key).alias("k"), F.col(actual).cast("double").alias("y"), F.col(predicted).cast("double").alias("p"))
-    cuts = range_cuts(narrow, ["p", "k"], ranges)
-    return ord_row_number(narrow, ["p", "k"], "r", cuts=cuts), cuts.rows
+    return ord_rank_of_all(narrow, ["p", "k"], "r", "n", ranges)
 
 
 def eval_gini(df: DataFrame, actual: str, predicted: str, key: str, ranges: int | None = None) -> DataFrame:
@@ -88,9 +87,9 @@ def eval_gini(df: DataFrame, actual: str, predicted: str, key: str, ranges: int
     The area under the curve needs only each row's rank: a loss at rank r of n is part of
     n - r + 1 points of the cumulative curve.
     """
-    ranked, n = _ranked(df, actual, predicted, key, ranges)
-    total, weighted = F.sum("y"), F.sum(F.col("y") * (F.lit(n) - F.col("r") + 1))
-    gini = F.when(total != 0, 1 - 2 * weighted / (total * n)).otherwise(0.0)
+    ranked = _ranked(df, actual, predicted, key, ranges)
+    total, weighted = F.sum("y"), F.sum(F.col("y") * (F.col("n") - F.col("r") + 1))
+    gini = F.when(total != 0, 1 - 2 * weighted / (total * F.max("n"))).otherwise(0.0)
     return ranked.agg(gini.alias("gini"))
 
 
@@ -98,9 +97,9 @@ def eval_lift_table(
     df: DataFrame, actual: str, predicted: str, key: str, groups: int = 10, ranges: int | None = None
 ) -> DataFrame:
     """Mean predicted and actual by rank group; groups have n // groups rows, the last takes the rest."""
-    ranked, n = _ranked(df, actual, predicted, key, ranges)
-    size = n // groups
-    group = F.least(F.floor((F.col("r") - 1) / size) + 1, F.lit(groups)) if size else F.lit(groups)
+    ranked = _ranked(df, actual, predicted, key, ranges)
+    size = F.expr(f"n div {groups}")
+    group = F.when(size > 0, F.least(F.floor((F.col("r") - 1) / F.greatest(size, F.lit(1))) + 1, F.lit(groups))).otherwise(groups)
     by_group = ranked.groupBy(group.cast("int").alias("decile")).agg(
         F.avg("p").alias("p"), F.avg("y").alias("y"), F.sum("y").alias("total"), F.count("*").alias("count")
     )
@@ -119,13 +118,13 @@ def eval_residuals(df: DataFrame, actual: str, predicted: str) -> DataFrame:
     """Error measures in one row. The median error is exact (see functions.quantiles)."""
     error = (F.col(predicted) - F.col(actual)).cast("double")
     rows = df.select(F.col(actual).cast("double").alias("y"), error.alias("e"), F.abs(error).alias("size"))
-    middle = exact_medians(rows, ["size"])["size"]
+    middle = F.broadcast(exact_medians(rows, ["size"]).agg(F.max("median").alias("middle")))  # one row
     relative = F.when(F.col("y") != 0, F.abs(F.col("e") / F.col("y")))
-    return rows.agg(
+    return rows.crossJoin(middle).agg(
         F.round(F.avg("size"), 2).alias("mae"),
         F.round(F.sqrt(F.avg(F.col("e") * F.col("e"))), 2).alias("rmse"),
         F.round(F.coalesce(F.avg(relative), F.lit(0.0)), 4).alias("mape"),
         F.round(F.avg("e"), 2).alias("mean_residual"),
         F.round(F.stddev_pop("e"), 2).alias("std_residual"),
-        F.round(F.lit(middle).cast("double"), 2).alias("median_absolute_error"),
+        F.round(F.max("middle"), 2).alias("median_absolute_error"),
     )

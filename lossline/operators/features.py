@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lossline.config import Config
-from lossline.functions.bounded import broadcast_checked
 from lossline.functions.columns import flag, mean_of, ratio
 from lossline.functions.ordering import ord_ntile, tile_of_rank
 from lossline.functions.quantiles import exact_medians
@@ -112,8 +111,8 @@ def feat_risk_segments(experience: DataFrame, policyholders: DataFrame) -> DataF
     high = F.lit("high")
     return (
         known.join(quarter, "policy_id")
-        .join(broadcast_checked(states), "state_code", "left")
-        .join(broadcast_checked(occupations), "occupation", "left")
+        .join(states, "state_code", "left")
+        .join(occupations, "occupation", "left")
         .select(
             "policy_id",
             "policyholder_id",
@@ -181,7 +180,7 @@ def model_training_set(
     return (
         kept.join(segments.select("policy_id", *bands), "policy_id")
         .join(policies.select("policy_id", "policy_year"), "policy_id")
-        .join(broadcast_checked(latest), "coverage_type", "left")
+        .join(latest, "coverage_type", "left")
         .select(
             "policy_id",
             F.col("claim_frequency").alias("target_claim_frequency"),
@@ -250,20 +249,20 @@ def feat_drop_null_target(df: DataFrame, target: str = "target_pure_premium") ->
 
 
 def feat_median_impute(df: DataFrame, columns: list[str], by: str = "split") -> DataFrame:
-    """Replace null and NaN by the exact median of the column within each value of by."""
-    parts = []
-    for value in categories(df, [by])[by]:
-        part = df.filter(F.col(by) == value)
-        medians = exact_medians(part, columns)
-        parts.append(
-            part.withColumns(
-                {
-                    c: F.when(F.col(c).isNull() | F.isnan(c), F.lit(medians[c])).otherwise(F.col(c))
-                    for c in columns
-                }
-            )
-        )
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+    """Replace null and NaN by the exact median of the column within each value of by (null: a group of its own).
+
+    A column without any value in a group stays as it is.
+    """
+    wide = exact_medians(df, columns, by).groupBy("group").agg(
+        *[F.max(F.when(F.col("name") == c, F.col("median"))).alias(f"_median_{i}") for i, c in enumerate(columns)]
+    )
+    group = F.coalesce(F.col(by).cast("string"), F.lit(""))
+    filled = df.withColumn("_group", group).join(wide.withColumnRenamed("group", "_group"), "_group", "left")
+    return filled.select(
+        *[
+            F.when(F.col(c).isNull() | F.isnan(c), F.col(f"_median_{columns.index(c)}")).otherwise(F.col(c)).alias(c)
+            if c in columns
+            else F.col(c)
+            for c in df.columns
+        ]
+    )

@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from lossline.config import Config
-from lossline.functions.bounded import broadcast_checked
 from lossline.functions.columns import flag, month_distance, prorated_money
-from lossline.functions.ordering import HOT_ROWS, keyed_running
+from lossline.functions.ordering import keyed_running
 
 PAYMENT_ORDER = ["payment_date", "payment_id", "payment_amount"]
 
@@ -30,7 +29,7 @@ def int_claims_enriched(claims: DataFrame, policies: DataFrame, coverages: DataF
     large = flag(F.col("initial_reserve") > cfg.large_loss_threshold)
     return (
         claims.join(policy, "policy_id")
-        .join(broadcast_checked(cover), "coverage_type", "left")
+        .join(cover, "coverage_type", "left")
         .withColumns({"development_months_at_valuation": months, "is_large_loss": large})
     )
 
@@ -57,12 +56,12 @@ def payment_development(payments: DataFrame, claims: DataFrame, policies: DataFr
 
 
 def int_claim_payments_cumulative(
-    payments: DataFrame, claims: DataFrame, policies: DataFrame, hot_rows: int = HOT_ROWS, hot: list | None = None
+    payments: DataFrame, claims: DataFrame, policies: DataFrame
 ) -> DataFrame:
     """Running paid total and payment number per claim, recomputed from the payments.
 
     The running total needs payment columns only, so it is taken before the join; a claim
-    with very many payments is cut into ranges (see functions.ordering).
+    with very many payments is cut by day (see functions.ordering).
     """
     running = keyed_running(
         payments.drop("cumulative_paid"),
@@ -71,8 +70,6 @@ def int_claim_payments_cumulative(
         "payment_amount",
         "cumulative_paid",
         "payment_rank",
-        hot=hot,
-        hot_rows=hot_rows,
     )
     return payment_development(running, claims, policies)
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from lossline.config import Config
-from lossline.functions.bounded import broadcast_checked
 from lossline.functions.columns import completed_years, date_key, flag
 
 
@@ -72,7 +71,7 @@ def dim_policy(policies: DataFrame, coverages: DataFrame, cfg: Config) -> DataFr
         (F.col("status") == "active") & (F.col("effective_date") <= valuation) & (F.col("expiration_date") > valuation)
     )
     cover = coverages.withColumnRenamed("description", "coverage_description")
-    return policies.join(broadcast_checked(cover), "coverage_type", "left").select(
+    return policies.join(cover, "coverage_type", "left").select(
         "policy_id",
         "policyholder_id",
         "policy_number",
