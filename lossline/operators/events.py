@@ -24,7 +24,6 @@ KNOWN_COVERAGES = (
     "hogar_robo",
     "responsabilidad_civil_general",
 )
-RAW_KEPT = 2000
 
 AMOUNT = "decimal(28,6)"
 ISO_DATE = r"^\d{4}-\d{2}-\d{2}$|^\d{8}$"
@@ -172,16 +171,23 @@ def valid_events(judged: DataFrame, cfg: StreamConfig = StreamConfig(), processe
 
 
 def dead_letters(judged: DataFrame, processed_at: Column | None = None) -> DataFrame:
-    """Events that failed: the start of the raw text, reason and kind of error."""
+    """Events that failed: the raw text, reason and kind of error."""
     processed_at = F.current_timestamp() if processed_at is None else processed_at
     return judged.filter(F.col(_TYPE).isNotNull()).select(
-        F.substring("value", 1, RAW_KEPT).alias("raw_data"),
+        F.col("value").alias("raw_data"),
         _REASON,
         _TYPE,
         processed_at.alias("processing_timestamp"),
     )
 
 
+def _plain_number(number: Column) -> Column:
+    """A double in digits, without an exponent: -20000000.0, 0.5."""
+    whole = (F.abs(number) < 1e15) & (number == F.floor(number))
+    digits = F.regexp_replace(F.format_string("%.15f", number), "0+$", "")
+    return F.when(whole, F.concat(number.cast("decimal(16,0)").cast("string"), F.lit(".0"))).when(F.abs(number) < 1e15, digits).otherwise(number.cast("string"))
+
+
 # --- intake: all errors of an event -------------------------------------------------------
 
 
@@ -197,7 +203,7 @@ def intake_validate_all(events: DataFrame, as_of: date | Column) -> DataFrame:
     day = iso_date(_text("accident_date"))
     rules = [
         F.when(number.isNull(), F.concat(F.lit("estimated_amount is not a number: "), _shown("estimated_amount")))
-        .when(number <= 0, F.concat(F.lit("estimated_amount must be positive, got "), number.cast("string"))),
+        .when(number <= 0, F.concat(F.lit("estimated_amount must be positive, got "), _plain_number(number))),
         F.when(day.isNull(), F.concat(F.lit("accident_date is not a valid ISO date: "), _shown("accident_date")))
         .when(day > today, F.concat(F.lit("accident_date is in the future: "), _shown("accident_date"))),
         F.when(~_truthy("coverage_type"), F.lit("coverage_type is empty")),
@@ -267,7 +273,7 @@ def batch_parse(events: DataFrame, processed_at: Column | None = None) -> DataFr
 def batch_dead_letters(parsed: DataFrame, processed_at: Column | None = None) -> DataFrame:
     processed_at = F.current_timestamp() if processed_at is None else processed_at
     return parsed.filter(F.col(_REASON).isNotNull()).select(
-        F.substring("value", 1, RAW_KEPT).alias("raw_data"), _REASON, processed_at.alias("processing_timestamp")
+        F.col("value").alias("raw_data"), _REASON, processed_at.alias("processing_timestamp")
     )
 
 
@@ -372,7 +378,7 @@ def late_arrivals(events: DataFrame, order: list[str], processed_at: Column | No
         F.col("event_time").alias("original_timestamp"),
         F.col("arrival_ts").alias("arrival_timestamp"),
         late.alias("lateness_seconds"),
-        F.substring("value", 1, RAW_KEPT).alias("raw_data"),
+        F.col("value").alias("raw_data"),
         processed_at.alias("processing_timestamp"),
     )
 

@@ -88,7 +88,7 @@ FROM (SELECT *, 0 AS again FROM orders UNION ALL SELECT *, 1 FROM orders WHERE o
 
 relation("raw_claim_payments", """
 SELECT *, CAST(payment_amount * line AS DECIMAL(16,2)) AS cumulative_paid
-FROM (SELECT ((l_orderkey * 10 + l_linenumber) * 100000 + l_partkey) * 10000 + l_suppkey AS payment_id,
+FROM (SELECT (l_orderkey * 8 + l_linenumber) * 1048576 + (l_partkey * 7919 + l_suppkey * 104729) % 1048576 AS payment_id,
              l_orderkey AS claim_id, CAST(l_shipdate AS DATE) AS payment_date,
              CAST(if(l_returnflag = 'R', -10 * l_quantity, l_extendedprice) AS DECIMAL(16,2)) AS payment_amount,
              CASE l_returnflag WHEN 'N' THEN 'Indemnity' WHEN 'A' THEN 'expense ' ELSE 'recovery' END AS payment_type,

@@ -65,7 +65,7 @@ UNION ALL
 SELECT payment_id, claim_id, 'orphan_payment'
 FROM stg_claim_payments WHERE NOT EXISTS (SELECT 1 FROM fct_claims c WHERE c.claim_id = stg_claim_payments.claim_id)"""),
 )
-_KEYED = {**{k: v for k, v in q.UNIQUE_KEYS.items() if k.startswith("stg")}, "raw_claims": ["claim_id"]}
+_KEYED = {**q.UNIQUE_KEYS, "raw_claims": ["claim_id"]}  # raw claims hold copies
 add(
     "dq_unique_key",
     lambda d: q.dq_unique_key(_tables(d, _KEYED), _KEYED),
@@ -73,8 +73,8 @@ add(
         f"SELECT '{t}' AS table_name, CAST({k[0]} AS VARCHAR) AS key, count(*) AS copies FROM {t} GROUP BY {k[0]} HAVING count(*) > 1"
         for t, k in _KEYED.items())),
 )
-_FILLED = {"raw_claims": ["claim_id", "cause_of_loss", "close_date"], "raw_policyholders": ["city", "occupation", "gender"],
-           "stg_claims": ["claim_id", "policy_id", "accident_date", "close_date"]}
+_FILLED = {**q.NON_NULL, "raw_claims": ["claim_id", "cause_of_loss", "close_date"],
+           "raw_policyholders": ["city", "occupation", "gender"], "stg_claims": [*q.NON_NULL["stg_claims"], "close_date"]}
 add(
     "dq_non_null",
     lambda d: q.dq_non_null(_tables(d, _FILLED), _FILLED),
@@ -290,14 +290,18 @@ add(
 )
 
 
+_FILES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
+          "pages", "benchmark", "labels", "conversations")
+
+
 def _directory(d):
-    """Every file of the folder; rows are counted for the tables the warehouse reads."""
+    """Every file of the folder with the rows of each table; a file of another kind has no row count."""
     files = profile.profile_directory(d.spark, d.folder).select("file_name", "format", "size_bytes")
     counted = None
-    for name in ("orders", "lineitem", "customer", "nation", "events"):
+    for name in _FILES:
         rows = profile.file_rows(d.source(name))
         counted = rows if counted is None else counted.unionByName(rows)
-    return files.join(counted, "file_name").select("file_name", "format", (F.col("size_bytes") > 0).alias("has_bytes"), "row_count")
+    return files.join(counted, "file_name", "left").select("file_name", "format", (F.col("size_bytes") > 0).alias("has_bytes"), "row_count")
 
 
 add(
@@ -305,7 +309,7 @@ add(
     _directory,
     sql("\nUNION ALL\n".join(
         f"SELECT '{t}.parquet' AS file_name, 'parquet' AS format, TRUE AS has_bytes, count(*) AS row_count FROM {t}"
-        for t in ("orders", "lineitem", "customer", "nation", "events"))),
+        for t in _FILES)),
 )
 
 # --- running the layers ----------------------------------------------------------------------------------------

@@ -48,6 +48,23 @@ add(
 )
 
 
+def _all_raw(d, fmt):
+    """Rows and filled cells of every column of all five tables, read back."""
+    found = None
+    for name, rows in files.load_raw_tables(d.spark, _raw_folder(d, fmt), fmt).items():
+        filled = rows.agg(F.count("*").alias("row_count"), *[F.count(c).alias(c) for c in rows.columns])
+        cells = filled.unpivot(["row_count"], rows.columns, "column_name", "filled").withColumn("table_name", F.lit(name))
+        found = cells if found is None else found.unionByName(cells)
+    return found.select("table_name", "column_name", "row_count", "filled")
+
+
+_ALL_RAW = sql("\nUNION ALL\n".join(
+    f"SELECT 'raw_{t}' AS table_name, '{c}' AS column_name, count(*) AS row_count, count({c}) AS filled FROM raw_{t}"
+    for t, schema in RAW_SCHEMAS.items() for c in (field.split()[0] for field in schema.split(", "))))
+add("src_csv_tables", lambda d: _all_raw(d, "csv"), _ALL_RAW)
+add("src_parquet_tables", lambda d: _all_raw(d, "parquet"), _ALL_RAW)
+
+
 def _globbed(d):
     folder = _raw_folder(d, "parquet")
     rows = files.read_glob(d.spark, f"{folder}/claim_pay*", RAW_SCHEMAS["claim_payments"], "parquet")
@@ -125,16 +142,22 @@ add(
 
 
 def _partitioned(d):
-    day, cluster = sinks.LAYOUT["fct_claim_payments"]
-    rows = sinks.write_partitioned(d.development, d.scratch("by-year"), day, "payment_id", cluster, salts=4)
-    return rows.groupBy("payment_date_year").agg(F.count("*").alias("n"), F.sum("payment_amount").alias("amount"))
+    """All laid-out tables, written by year and read back."""
+    found = None
+    for name, (day, cluster) in sinks.LAYOUT.items():
+        rows = sinks.write_partitioned(d[name], d.scratch(f"by-year-{name}"), day, cluster)
+        years = rows.groupBy(F.col(f"{day}_year").alias("year")).agg(F.count("*").alias("n"), F.countDistinct("claim_id").alias("claims"))
+        years = years.select(F.lit(name).alias("table_name"), "year", "n", "claims")
+        found = years if found is None else found.unionByName(years)
+    return found
 
 
 add(
     "snk_partitioned",
     _partitioned,
-    sql("SELECT year(payment_date) AS payment_date_year, count(*) AS n, CAST(sum(payment_amount) AS DOUBLE) AS amount "
-        "FROM fct_claim_payments GROUP BY 1"),
+    sql("\nUNION ALL\n".join(
+        f"SELECT '{t}' AS table_name, year({day}) AS year, count(*) AS n, count(DISTINCT claim_id) AS claims FROM {t} GROUP BY year({day})"
+        for t, (day, _) in sinks.LAYOUT.items())),
 )
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -36,10 +37,13 @@ def configure_state_store(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by the cluster in spark.checkpoint.dir.
 
-    Only a session that names none (a local test run) gets a fresh local folder.
+    Only a session in one process (a local test run) that names none gets a fresh local folder; on a cluster that would
+    be another folder on every machine, so it is an error.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         named = tempfile.mkdtemp(prefix="lossline-")
         spark.conf.set("spark.checkpoint.dir", named)
     return named.rstrip("/")

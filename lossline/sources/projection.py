@@ -74,7 +74,7 @@ def raw_claims(orders: DataFrame) -> DataFrame:
 
 def raw_claim_payments(lineitem: DataFrame) -> DataFrame:
     return lineitem.selectExpr(
-        "((l_orderkey * 10 + l_linenumber) * 100000 + l_partkey) * 10000 + l_suppkey AS payment_id",
+        "(l_orderkey * 8 + l_linenumber) * 1048576 + (l_partkey * 7919 + l_suppkey * 104729) % 1048576 AS payment_id",
         "l_orderkey AS claim_id",
         "to_date(l_shipdate) AS payment_date",
         "CAST(if(l_returnflag = 'R', -10 * l_quantity, l_extendedprice) AS DECIMAL(16,2)) AS payment_amount",
@@ -144,8 +144,7 @@ def motor_frequency(customer: DataFrame, nation: DataFrame, orders: DataFrame) -
     """Motor third-party frequency table: one row per policy."""
     key = F.col("c_custkey")
     counts = (
-        orders.filter(F.col("o_orderkey") % 5 == 0)
-        .groupBy(F.col("o_custkey").alias("c_custkey"))
+        orders.groupBy(F.col("o_custkey").alias("c_custkey"))
         .agg(F.count("*").alias("claims"))
     )
     return (
@@ -165,7 +164,7 @@ def motor_frequency(customer: DataFrame, nation: DataFrame, orders: DataFrame) -
 
 
 def motor_severity(orders: DataFrame) -> DataFrame:
-    return orders.filter(F.col("o_orderkey") % 5 == 0).select(
+    return orders.select(
         F.col("o_custkey").alias("IDpol"),
         F.col("o_totalprice").cast("decimal(16,2)").alias("ClaimAmount"),
     )

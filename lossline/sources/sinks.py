@@ -6,12 +6,11 @@ import logging
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import PySparkException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 log = logging.getLogger(__name__)
 
 TARGET_FILE_BYTES = 512 * 1024 * 1024
-SALTS = 64
 
 WAREHOUSE_EXPORTS = (
     "dim_date",
@@ -64,22 +63,17 @@ def export_csv(tables: Mapping[str, DataFrame], folder: str, must: bool = True)
     return paths
 
 
-def spread(partition: str, key: str, salts: int = SALTS) -> list[Column]:
-    """Shuffle columns that cut each output partition into files by a hash of key.
-
-    A year that holds a third of all rows is written by salts tasks, not by one.
-    """
-    return [F.col(partition), F.pmod(F.xxhash64(key), F.lit(salts))]
-
-
 def write_partitioned(
-    df: DataFrame, path: str, day: str, key: str, cluster: Sequence[str], salts: int = SALTS, mode: str = "overwrite"
+    df: DataFrame, path: str, day: str, cluster: Sequence[str], mode: str = "overwrite"
 ) -> DataFrame:
-    """A table partitioned by the year of a date and sorted by the cluster columns inside each file."""
+    """A table partitioned by the year of a date and sorted by the cluster columns inside each file.
+
+    Rows are rebalanced by year: a large year is cut into as many tasks as its bytes ask for, small ones share one.
+    """
     year = f"{day}_year"
     rows = df.withColumn(year, F.year(day))
     (
-        rows.repartition(*spread(year, key, salts))
+        rows.hint("rebalance", F.col(year))
         .sortWithinPartitions(year, *cluster)
         .write.mode(mode)
         .partitionBy(year)

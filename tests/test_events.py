@@ -81,9 +81,15 @@ def test_event_time_and_enrichment(spark):
     assert got[0]["validation_status"] == "valid" and got[0]["pipeline_version"] == "0.1.0"
 
 
-def test_dead_letter_keeps_the_start_of_the_text(spark):
+def test_dead_letter_keeps_the_whole_text(spark):
     row = ev.dead_letters(ev.validate(texts(spark, "x" * 5000))).first()
-    assert len(row["raw_data"]) == 2000 and row["error_type"] == "parse" and row["processing_timestamp"] is not None
+    assert row["raw_data"] == "x" * 5000 and row["error_type"] == "parse" and row["processing_timestamp"] is not None
+
+
+def test_amounts_are_shown_in_digits(spark):
+    shown = {-20000000.0: "-20000000.0", -0.5: "-0.5", 0.0: "0.0", -1234.125: "-1234.125"}
+    rows = spark.createDataFrame([(n,) for n in shown], "n double").select("n", ev._plain_number(F.col("n")).alias("s")).collect()
+    assert {r["n"]: r["s"] for r in rows} == shown
 
 
 def test_text_is_parsed_once(spark):

@@ -8,7 +8,6 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from lossline.functions.bounded import broadcast_checked
 from lossline.functions.columns import dataset_name
 from lossline.operators import patterns, profile, quality
 from lossline.session import shared_folder, work_path
@@ -64,11 +63,11 @@ def test_backfill_replaces_only_its_partitions(spark, tmp_path):
 
 def test_a_hot_year_is_written_by_several_tasks(spark, tmp_path):
     df = spark.range(4000).select("id", F.lit(date(2020, 1, 1)).alias("day"))
-    merging = "spark.sql.adaptive.coalescePartitions.enabled"
-    spark.conf.set(merging, "false")  # these few rows would be merged into one task again
-    written = sinks.write_partitioned(df, str(tmp_path / "t"), "day", "id", ["id"], salts=8)
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(size, "4k")
+    written = sinks.write_partitioned(df, str(tmp_path / "t"), "day", ["id"])
     assert written.select("_metadata.file_path").distinct().count() > 1 and written.count() == 4000
-    spark.conf.unset(merging)
+    spark.conf.unset(size)
 
 
 def test_compaction(spark, tmp_path):
@@ -85,18 +84,23 @@ def test_profile_of_a_folder(spark, tmp_path):
     assert totals["csv_count"] == 1 and totals["parquet_count"] >= 1 and totals["total_size_bytes"] > 0
 
 
-def test_broadcast_only_below_the_bound(spark):
-    small, large = broadcast_checked(spark.range(5), 10), broadcast_checked(spark.range(50), 10)
-    text = lambda df: spark.range(3).join(df, "id")._jdf.queryExecution().logical().toString()
-    assert "broadcast" in text(small).lower() and "broadcast" not in text(large).lower()
-    assert small.count() == 5 and large.count() == 50
-
-
 def test_scratch_is_below_the_named_folder(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
     assert work_path(spark, "a") != work_path(spark, "a") and work_path(spark, "a").startswith(shared_folder(spark))
 
 
+def test_a_cluster_must_name_the_shared_folder():
+    class Session:
+        class conf:
+            get = staticmethod(lambda key, default: default)
+
+        class sparkContext:
+            master = "spark://host:7077"
+
+    with pytest.raises(ValueError):
+        shared_folder(Session)
+
+
 def test_history_load_and_lookup(spark):
     changes = spark.createDataFrame([(1, date(2020, 1, 1), "a"), (1, date(2020, 2, 1), "a"), (1, date(2020, 3, 1), "b")], "k int, valid_from date, s string")
     history = patterns.scd2_from_changes(changes, ["k"], "valid_from")
