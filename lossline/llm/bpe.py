@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, functions as F
 from lossline.llm.common import pick, slices
 
 #: Words and space-separated pieces a worker remembers; beyond, those of a batch are forgotten after it.
-WORDS_KEPT, PIECES_KEPT = 400_000, 500_000
+WORDS_KEPT, PIECES_KEPT = 400_000, 150_000
 #: Longest word, in bytes, whose tree shares a matrix with other words.
 SHARED_TREE = 64
 NO_PAIR = np.int64(1) << 60

@@ -135,12 +135,20 @@ def paths(nodes: DataFrame, best: int = 1) -> DataFrame:
     return reached.join(depths, F.expr("tree <=> t AND node = n")).select("tree", "path", "leaf", "depth", "node")
 
 
+def _single(nodes: DataFrame) -> DataFrame:
+    """One row for each (tree, node): of several the smallest by parent, role, text and score."""
+    read = pick(nodes, "tree", "node", "parent", "role", "text", "score")
+    least = F.min(F.struct("parent", "role", "text", "score")).alias("x")
+    return write(read.groupBy("tree", "node").agg(least).select("tree", "node", "x.*"), "nodes")
+
+
 def format_paths(nodes: DataFrame, best: int = 1) -> DataFrame:
     """tree, path, formatted, mask (array of [start, end) code points): one conversation for each chosen path.
 
-    The turns of a path meet in its order in one partition and are written out as they come; a task holds no more than
+    Rows that repeat a node count once. The turns of a path meet in its order in one partition and are written out as they come; a task holds no more than
     the one text that it is making.
     """
+    nodes = _single(nodes)
     chosen = paths(nodes, best)
     # A turn is learned from in the first path that has it.
     first = chosen.groupBy("tree", "node").agg(F.min("path").alias("first"))

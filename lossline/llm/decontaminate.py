@@ -38,7 +38,8 @@ def occurrences(docs: DataFrame, windows: DataFrame) -> DataFrame:
     numbered = windows.groupBy("words").agg(F.collect_set("item_id").alias("items")).withColumn("window", F.xxhash64("words"))
     numbered = write(numbered, "windows")
     tokens = numbered.select("window", "words", F.posexplode("words").alias("at", "word")).withColumn("token", F.lower("word"))
-    vocabulary = tokens.select("token").distinct()
+    # Written, so that Spark knows the size before it plans: a small one is sent to the words, a large one makes a shuffle.
+    vocabulary = write(tokens.select("token").distinct(), "vocabulary")
     corpus = docs.select(F.explode("spelled").alias("word")).select(F.lower("word").alias("token"))
     counts = corpus.join(vocabulary, "token", "left_semi").groupBy("token").agg(F.count(F.lit(1)).alias("n"))
     rarity = tokens.join(counts, "token", "left").withColumn("n", F.coalesce("n", F.lit(0)))
@@ -50,9 +51,11 @@ def occurrences(docs: DataFrame, windows: DataFrame) -> DataFrame:
         .select("words", F.size("words").alias("span"), F.col("p.token").alias("token"), F.col("p.at").alias("at")),
         "prefixes",
     )
+    rare = write(prefixes.select("token").distinct(), "rare")
     places = docs.select("doc_id", F.size("spelled").alias("n_words"), F.posexplode("spelled").alias("pos", "word"))
     found = (
         places.select("doc_id", "n_words", "pos", F.lower("word").alias("token"))
+        .join(rare, "token", "left_semi")
         .join(prefixes, "token")
         .withColumn("start", F.col("pos") - F.col("at"))
         .filter((F.col("start") >= 0) & (F.col("start") + F.col("span") <= F.col("n_words")))
