@@ -216,23 +216,25 @@ def training_split_counts(training: DataFrame) -> DataFrame:
     )
 
 
-MAX_CATEGORIES = 1_000
-
-
 def categories(df: DataFrame, columns: list[str]) -> dict[str, list[str]]:
-    """Sorted distinct values of each column over the whole table; an error beyond MAX_CATEGORIES."""
+    """Sorted distinct values of each column over the whole table: what becomes the columns of a wide table."""
     pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("value")) for c in columns]))
     distinct = df.select(pairs.alias("p")).select("p.*").filter("value IS NOT NULL").distinct()
-    most = MAX_CATEGORIES * len(columns)
     found: dict[str, list[str]] = {c: [] for c in columns}
-    for name, value in distinct.limit(most + 1).collect():
+    for name, value in distinct.toLocalIterator():
         found[name].append(value)
-    for name, values in found.items():
-        if len(values) > MAX_CATEGORIES:
-            raise ValueError(f"{name} has more than {MAX_CATEGORIES} values: not a category")
     return {name: sorted(values) for name, values in found.items()}
 
 
+def feat_indicators(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """key, feature: the indicators that are 1, one row for each category a row has; null has none.
+
+    The long form of feat_one_hot without its zeros: no list of the values is needed, however many there are.
+    """
+    named = F.array(*[F.when(F.col(c).isNotNull(), F.concat(F.lit(f"{c}_"), F.col(c).cast("string"))) for c in columns])
+    return df.select(key, F.explode(F.array_compact(named)).alias("feature"))
+
+
 def feat_one_hot(
     df: DataFrame, columns: list[str], levels: dict[str, list[str]] | None = None
 ) -> tuple[DataFrame, list[str]]:

@@ -88,7 +88,19 @@ def test_exposure_is_an_offset(groups):
 def test_dependent_and_constant_features_drop_out(spark):
     rows = [(float(i % 7), float(i % 5), 3.0) for i in range(70)]
     df = spark.createDataFrame(rows, "a double, b double, one double").withColumn("both", F.col("a") + 2 * F.col("b"))
-    assert glm.independent_features(df, ["a", "b", "both", "one"]) == ["a", "b"]
+    assert glm.independent_features(glm._with_vector(df, ["a", "b", "both", "one"])) == [0, 1]
+
+
+def test_design_fills_gaps_and_has_no_limit_of_levels(spark):
+    rows = [("train", f"level {i % 1200:04}", None if i % 7 == 0 else float(i % 5), float(i)) for i in range(2400)]
+    df = spark.createDataFrame(rows, "split string, age_band string, log_premium double, target_pure_premium double")
+    rest = {c: F.lit("x") for c in features.CATEGORICAL_FEATURES if c != "age_band"}
+    rest["gender"] = F.lit(None).cast("string")
+    rest |= {c: F.lit(1.0) for c in features.NUMERIC_FEATURES if c != "log_premium"}
+    design, names = glm.design_matrix(df.withColumns(rest))
+    assert len(names) == 1200 + 3 + len(features.NUMERIC_FEATURES) and not any(n.startswith("gender") for n in names)
+    vector = design.orderBy("target_pure_premium").first()[glm.ALL]
+    assert vector.size == len(names) and vector[0] == 1.0 and vector[1200 + 3] == 2.0
 
 
 def test_severity_needs_a_positive_amount(groups):
