@@ -2,23 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from lossline.config import Config
 from lossline.functions.columns import completed_years, date_key, flag
 
 
-def calendar_span(spark: SparkSession, cfg: Config) -> DataFrame:
-    """The configured calendar as one row (first_day, last_day)."""
-    return spark.range(1).select(F.lit(cfg.spine_start).alias("first_day"), F.lit(cfg.spine_end).alias("last_day"))
-
-
-def calendar_span_of(claims: DataFrame, payments: DataFrame) -> DataFrame:
-    """Whole calendar years that cover every accident and payment date."""
+def calendar_span_of(claims: DataFrame, payments: DataFrame, cfg: Config) -> DataFrame:
+    """The configured calendar, and as many whole years more as accident and payment dates need."""
     days = claims.select(F.col("accident_date").alias("day")).union(payments.select("payment_date"))
     return days.agg(
-        F.make_date(F.year(F.min("day")), F.lit(1), F.lit(1)).alias("first_day"),
-        F.make_date(F.year(F.max("day")), F.lit(12), F.lit(31)).alias("last_day"),
+        F.least(F.make_date(F.year(F.min("day")), F.lit(1), F.lit(1)), F.lit(cfg.spine_start)).alias("first_day"),
+        F.greatest(F.make_date(F.year(F.max("day")), F.lit(12), F.lit(31)), F.lit(cfg.spine_end)).alias("last_day"),
     )
 
 

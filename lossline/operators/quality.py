@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lossline.functions.columns import mean_of, ratio
+from lossline.functions.quantiles import exact_medians
 
 # Declared keys and mandatory columns of the tables.
 UNIQUE_KEYS = {
@@ -322,6 +323,35 @@ def obs_distribution(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
+def obs_distribution_baseline(
+    df: DataFrame, columns: Sequence[str], day: str, width: float = 2.0, at_least: int = 2
+) -> DataFrame:
+    """Per column and year exact figures, and if the mean lies more than width sd from the means of the years before.
+
+    A year with fewer than at_least years before it has no baseline: its outlier is null. The window runs over one row
+    per column and year.
+    """
+    year = F.year(day)
+    values = df.select(year.alias("year"), F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("decimal(28,2)").alias("v")) for c in columns])))
+    figures = values.groupBy("column_name", "year").agg(
+        F.count("v").alias("filled"), mean_of(F.sum("v"), F.count("v")).alias("mean"), F.countDistinct("v").alias("distinct_values")
+    )
+    middle = exact_medians(df.withColumn("_year", year), list(columns), "_year").select(
+        F.col("name").alias("column_name"), F.col("group").cast("int").alias("year"), "median"
+    )
+    before = Window.partitionBy("column_name").orderBy("year").rowsBetween(Window.unboundedPreceding, -1)
+    apart = F.abs(F.col("mean") - F.avg("mean").over(before)) > width * F.stddev_samp("mean").over(before)
+    return figures.join(middle, ["column_name", "year"], "left").select(
+        "column_name",
+        "year",
+        "filled",
+        F.round("mean", 4).alias("mean"),
+        F.round("median", 4).alias("median"),
+        "distinct_values",
+        F.when(F.count("mean").over(before) >= at_least, apart).alias("outlier"),
+    )
+
+
 def obs_null_rate(df: DataFrame) -> DataFrame:
     return null_counts(df, df.columns).select(
         "column_name", "nulls", F.round(ratio(F.col("nulls"), F.col("row_count")), 6).alias("null_rate")

@@ -197,7 +197,7 @@ FROM (SELECT *, exposure_end - exposure_start AS days,
 # --- marts ----------------------------------------------------------------------------
 
 relation("calendar_days", """
-SELECT make_date(min(year(d)), 1, 1) AS first_day, make_date(max(year(d)), 12, 31) AS last_day
+SELECT least(make_date(min(year(d)), 1, 1), DATE '1990-01-01') AS first_day, greatest(make_date(max(year(d)), 12, 31), DATE '2000-12-31') AS last_day
 FROM (SELECT accident_date AS d FROM stg_claims UNION ALL SELECT payment_date FROM stg_claim_payments)
 """)
 

@@ -202,6 +202,21 @@ add(
     "obs_distribution",
     lambda d: q.obs_distribution(d["fct_claims"], ["initial_reserve", "total_paid", "payment_count"]),
 )
+_SPREAD = ["initial_reserve", "total_paid", "payment_count"]
+add(
+    "obs_distribution_baseline",
+    lambda d: q.obs_distribution_baseline(d["fct_claims"], _SPREAD, "accident_date"),
+    sql("""
+SELECT column_name, year, filled, round(x, 4) AS mean, round(m, 4) AS median, distinct_values,
+       if(k >= 2, abs(x - past) > 2 * sd, NULL) AS outlier
+FROM (SELECT *, avg(x) OVER w AS past, stddev_samp(x) OVER w AS sd, count(x) OVER w AS k
+      FROM (""" + "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS column_name, CAST(year(accident_date) AS INTEGER) AS year, count({c}) AS filled, "
+        f"CAST(sum(CAST({c} AS DECIMAL(28,2))) AS DOUBLE) / nullif(count({c}), 0) AS x, "
+        f"median(CAST({c} AS DOUBLE)) AS m, count(DISTINCT {c}) AS distinct_values FROM fct_claims GROUP BY 2"
+        for c in _SPREAD) + """)
+      WINDOW w AS (PARTITION BY column_name ORDER BY year ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))"""),
+)
 _RATED = ["policyholder_id", "first_name", "city", "occupation", "gender", "state_code"]
 add(
     "obs_null_rate",

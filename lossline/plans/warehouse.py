@@ -39,7 +39,7 @@ MODELS: dict[str, Model] = {
     ),
     "int_policy_exposure": Model("intermediate", ("stg_policies",), intermediate.int_policy_exposure, True),
     "dim_date": Model(
-        "marts", ("stg_claims", "stg_claim_payments"), lambda c, p: marts.dim_date(marts.calendar_span_of(c, p))
+        "marts", ("stg_claims", "stg_claim_payments"), lambda c, p, cfg: marts.dim_date(marts.calendar_span_of(c, p, cfg)), True
     ),
     "dim_policyholder": Model("marts", ("stg_policyholders",), marts.dim_policyholder, True),
     "dim_policy": Model("marts", ("stg_policies", "stg_coverages"), marts.dim_policy, True),

@@ -19,6 +19,8 @@ PROJECTION_CONFIG = Config(
     valuation_date=date(2000, 12, 31),
     observation_start=date(1995, 1, 1),
     train_through_year=1997,
+    spine_start=date(1990, 1, 1),
+    spine_end=date(2000, 12, 31),
 )
 
 
