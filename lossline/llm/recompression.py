@@ -27,7 +27,6 @@ from lossline.llm.words import Words, mix, prefix_sums, range_hash, split_words
 
 REACH = 5
 ROUNDS = 4
-SLICE_BYTES = 2 << 20
 LEFT, RIGHT, COUNT = (np.uint64(x) for x in (0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB))
 FAR = 1 << 40
 
@@ -74,7 +73,10 @@ def borders(words: Words) -> tuple[np.ndarray, np.ndarray]:
 
 
 def records(words: Words, window: int) -> tuple[np.ndarray, ...]:
-    """For each record: its text, the name of its anchor, the hash of its words, its first window, the windows after it."""
+    """For each record: its text, what tells its anchor, the hash of its words, its first window, the windows after it.
+
+    An anchor is told by its level, its names and the words within REACH, which every window that picks it holds.
+    """
     level, name = borders(words)
     spread = window - 2 * REACH + 1
     sizes = np.diff(words.first)
@@ -99,7 +101,9 @@ def records(words: Words, window: int) -> tuple[np.ndarray, ...]:
     sums = prefix_sums(words.hash)
     whole = range_hash(sums, first[cut], first[last] + window)
     inside = first[cut] - words.first[:-1][of[cut]]
-    return of[cut], mix(name[anchor[cut]] + level[anchor[cut]]), whole, inside, last - cut
+    place = anchor[cut]
+    near = range_hash(sums, place - REACH, place + REACH)
+    return of[cut], mix(name[place] + level[place]) ^ near, whole, inside, last - cut
 
 
 def window_hashes(words: Words, window: int, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -122,7 +126,7 @@ def _rows(docs: DataFrame) -> DataFrame:
 
 def _records(rows: DataFrame, window: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", SLICE_BYTES):
+        for batch in slices(batches, "text"):
             of, anchor, whole, first, more = records(split_words(batch.column(2).to_pylist()), window)
             of = pa.array(of)
             yield pa.RecordBatch.from_arrays(
@@ -137,7 +141,7 @@ def _told(rows: DataFrame, window: int) -> DataFrame:
     """h1, h2, d, r, start, open of the windows of the records in `tell` (place << 1 | open)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", SLICE_BYTES):
+        for batch in slices(batches, "text"):
             words = split_words(batch.column(2).to_pylist())
             tell = batch.column(3)
             place = tell.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
@@ -202,7 +206,7 @@ def remove_repeats(docs: DataFrame, window: int = 35) -> DataFrame:
     joined = dealt.join(spans, ["d", "r"], "left").drop("d", "r")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, text, SLICE_BYTES):
+        for batch in slices(batches, text):
             at = batch.schema.names.index(text)
             texts, counts, removed = [], [], []
             for body, spans in zip(batch.column(at).to_pylist(), batch.column(batch.num_columns - 1)):
