@@ -20,7 +20,9 @@ from pyspark.sql import DataFrame, functions as F
 from lossline.llm.common import pick, slices
 
 #: Words and space-separated pieces a worker remembers; beyond, those of a batch are forgotten after it.
-WORDS_KEPT, PIECES_KEPT = 400_000, 150_000
+WORDS_KEPT, PIECES_KEPT = 300_000, 120_000
+#: Bytes of text encoded together: many, so that many new words share a matrix.
+SLICE_BYTES = 4 << 20
 #: Longest word, in bytes, whose tree shares a matrix with other words.
 SHARED_TREE = 64
 NO_PAIR = np.int64(1) << 60
@@ -284,7 +286,7 @@ def encode_documents(docs: DataFrame, vocabulary_path: str, decode: bool = True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = encoder(shared.value)
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE_BYTES):
             ids = made.encode(batch.column(1).to_pylist())
             columns = [batch.column(0), pa.array(ids, pa.binary())]
             if decode:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from lossline.session import materialise
 
 #: Rows that one Python step handles at once; bounds its memory together with SLICE_BYTES.
-SLICE_ROWS, SLICE_BYTES = 4096, 4 << 20
+SLICE_ROWS, SLICE_BYTES = 4096, 1 << 20
 
 
 def load(spark: SparkSession, folder: str, table: str) -> DataFrame:

@@ -21,7 +21,7 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame, Window, functions as F
 
-from lossline.llm.bpe import encoder, vocabulary_source
+from lossline.llm.bpe import SLICE_BYTES, encoder, vocabulary_source
 from lossline.llm.common import parts, pick, slices
 from lossline.session import work_path
 
@@ -144,7 +144,7 @@ def write_tokens(docs: DataFrame, vocabulary_path: str, end_id: int = 1, folder:
             stream.close()
             rows.append((path, len(writer.documents), writer.ids))
 
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE_BYTES):
             for doc_id, ids in zip(batch.column(0).to_pylist(), made.encode(batch.column(1).to_pylist())):
                 if writer and writer.at > FILE_BYTES:
                     close()
