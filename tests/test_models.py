@@ -70,7 +70,7 @@ def test_calendar(spark):
     claims = spark.createDataFrame([(date(2020, 5, 1),)], "accident_date date")
     payments = spark.createDataFrame([(date(2021, 5, 1),)], "payment_date date")
     days = marts.dim_date(marts.calendar_span_of(claims, payments, Config())).cache()
-    later = marts.calendar_span_of(claims, payments.select(F.date_add("payment_date", 4000)), Config()).first()
+    later = marts.calendar_span_of(claims, payments.select(F.date_add("payment_date", 4000).alias("payment_date")), Config()).first()
     assert later["first_day"] == date(2019, 1, 1) and later["last_day"] == date(2032, 12, 31)
     assert days.count() == 2922 and days.select("date_key").distinct().count() == 2922
     row = days.filter("full_date = '2024-12-31'").first()
