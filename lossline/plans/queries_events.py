@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from lossline import session
 from lossline.config import StreamConfig
@@ -298,11 +298,21 @@ def _event_stream(d):
     return ev.valid_events(ev.validate(raw, _now()), CFG, _now())
 
 
-def _streamed(d, stream, name, mode="append"):
-    """Run a stream to the end of its input and read back what the sink holds."""
+def _streamed(d, stream, name, mode="append", keys=None):
+    """Run a stream to the end of its input and read back what the sink holds: with keys, the last row of each."""
     out = d.scratch(name)
     streams.run_available(stream, sinks.append_batches(out), d.scratch(f"{name}-checkpoint"), mode)
-    return d.spark.read.schema(stream.schema).parquet(out).drop(sinks.BATCH)
+    rows = d.spark.read.schema(T.StructType([*stream.schema.fields, T.StructField(sinks.BATCH, T.LongType())])).parquet(out)
+    return (sinks.latest(rows, keys) if keys else rows).drop(sinks.BATCH)
+
+
+def _parted_stream(d, parts):
+    """The events as a stream of several batches: those of id 0 modulo parts first, then those of 1, and so on."""
+    folder, raw = d.scratch("parted"), d.source("events")
+    for part in range(parts):
+        raw.filter(F.col("event_id") % parts == part).coalesce(1).write.parquet(f"{folder}/part={part}")
+    stream = d.spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/*")
+    return ev.valid_events(ev.validate(projection.raw_claim_events(stream), _now()), CFG, _now())
 
 
 add(
@@ -310,9 +320,10 @@ add(
     lambda d: _streamed(d, _event_stream(d).select("event_id", "claim_id", "event_time"), "events"),
     sql("SELECT event_id, claim_id, strftime(event_time, '%Y-%m-%d %H:%M:%S') AS event_time FROM good_events"),
 )
+_PANE_KEY = ["window_start", "window_end", "coverage_type"]
 add(
     "stream_window_summary",
-    lambda d: _streamed(d, streams.windowed(_event_stream(d), CFG), "updates", "update"),
+    lambda d: _streamed(d, streams.windowed(_event_stream(d), CFG), "updates", "update", _PANE_KEY),
     sql(f"SELECT {_WINDOW}, {_SUMS} FROM good_events GROUP BY date_trunc('hour', event_time), coverage_type"),
 )
 _CLOSED = f"""
@@ -334,6 +345,18 @@ SELECT strftime(s, '%Y-%m-%d %H:%M:%S') AS window_start,
 FROM (SELECT *, time_bucket(INTERVAL 30 MINUTE, event_time) AS s FROM good_events) GROUP BY s, coverage_type
 HAVING s + INTERVAL 30 MINUTE <= (SELECT max(event_time) FROM good_events) - INTERVAL 10 MINUTE"""),
 )
+add(
+    # Rows are late by the watermark that the batch before began with: the third batch loses what the first closed.
+    "stream_late_dropped",
+    lambda d: _streamed(d, streams.windowed(_parted_stream(d, 3), _SHORT), "dropped", "update", _PANE_KEY),
+    sql(f"""
+SELECT strftime(s, '%Y-%m-%d %H:%M:%S') AS window_start,
+       strftime(s + INTERVAL 30 MINUTE, '%Y-%m-%d %H:%M:%S') AS window_end, coverage_type, {_SUMS}
+FROM (SELECT *, time_bucket(INTERVAL 30 MINUTE, event_time) AS s FROM good_events)
+WHERE event_id % 3 < 2
+   OR s + INTERVAL 30 MINUTE > (SELECT max(event_time) FROM good_events WHERE event_id % 3 = 0) - INTERVAL 10 MINUTE
+GROUP BY s, coverage_type"""),
+)
 add(
     "stream_dedup_state",
     lambda d: _streamed(d, streams.deduplicated(_event_stream(d), CFG).select("claim_id", "window.start"), "dedup"),

@@ -7,7 +7,7 @@ of it. Windows close at complete_to = window end and are forgotten the allowed l
 
 Events are reduced to one row per window, coverage and Arrow batch before the shuffle, so a
 coverage that holds most events does not send them all to one task, and the state of a
-window is one row of totals.
+window is one row of totals. Money is kept as whole millionths, so no total depends on the order of arrival.
 """
 
 from __future__ import annotations
@@ -22,13 +22,13 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from lossline.config import StreamConfig
 
 _PARTIAL = (
-    "coverage_type STRING, window_end_ms BIGINT, n BIGINT, total DOUBLE, low DOUBLE, high DOUBLE, event_time TIMESTAMP"
+    "coverage_type STRING, window_end_ms BIGINT, n BIGINT, total BIGINT, low BIGINT, high BIGINT, event_time TIMESTAMP"
 )
 _PANE = (
-    "coverage_type STRING, window_end_ms BIGINT, n BIGINT, total DOUBLE, low DOUBLE, high DOUBLE, "
+    "coverage_type STRING, window_end_ms BIGINT, n BIGINT, total BIGINT, low BIGINT, high BIGINT, "
     "pane_timing STRING, firing_id STRING"
 )
-_STATE = "n BIGINT, total DOUBLE, low DOUBLE, high DOUBLE, fired BOOLEAN"
+_STATE = "n BIGINT, total BIGINT, low BIGINT, high BIGINT, fired BOOLEAN"
 
 
 def _partials(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -43,6 +43,10 @@ def _partials(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             )
 
 
+#: Whole units of an amount with six decimals.
+UNITS = 1_000_000
+
+
 class PaneProcessor(StatefulProcessor):
     """Totals of one (coverage, window); fires a pane per batch with new data and one on time."""
 
@@ -85,7 +89,7 @@ class PaneProcessor(StatefulProcessor):
             return
         held = self.totals.get() if self.totals.exists() else None
         if held is None:
-            n, total, low, high, fired = 0, 0.0, float("inf"), float("-inf"), complete_to >= end
+            n, total, low, high, fired = 0, 0, 2**63 - 1, -(2**63), complete_to >= end
             for due in {end - self.ahead_ms, end + self.lateness_ms - self.ahead_ms}:
                 self.handle.registerTimer(due)
         else:
@@ -115,7 +119,7 @@ def pane_summary(events: DataFrame, cfg: StreamConfig) -> DataFrame:
     window_ms, lateness_ms = cfg.window_seconds * 1000, cfg.allowed_lateness_seconds * 1000
     end = F.unix_millis(F.window("event_time", cfg.window)["end"])
     narrow = events.select(
-        "coverage_type", end.alias("window_end_ms"), F.col("estimated_amount").cast("double").alias("amount"), "event_time"
+        "coverage_type", end.alias("window_end_ms"), (F.col("estimated_amount") * UNITS).cast("bigint").alias("amount"), "event_time"
     )
     partial = narrow.mapInPandas(_partials, _PARTIAL).withWatermark(
         "event_time", f"{cfg.window_seconds + cfg.allowed_lateness_seconds} seconds"
@@ -126,7 +130,8 @@ def pane_summary(events: DataFrame, cfg: StreamConfig) -> DataFrame:
         outputMode="Update",
         timeMode="EventTime",
     )
-    total = F.round("total", 6).cast("decimal(28,6)")
+    money = lambda name: (F.col(name).cast("decimal(20,0)") / UNITS).cast("decimal(28,6)")
+    total = money("total")
     return fired.select(
         F.timestamp_millis(F.col("window_end_ms") - window_ms).alias("window_start"),
         F.timestamp_millis("window_end_ms").alias("window_end"),
@@ -134,8 +139,8 @@ def pane_summary(events: DataFrame, cfg: StreamConfig) -> DataFrame:
         F.col("n").alias("claim_count"),
         F.round(total, 2).cast("double").alias("total_amount_mxn"),
         F.round(total / F.col("n"), 2).cast("double").alias("avg_amount_mxn"),
-        F.round("low", 2).alias("min_amount_mxn"),
-        F.round("high", 2).alias("max_amount_mxn"),
+        F.round(money("low"), 2).cast("double").alias("min_amount_mxn"),
+        F.round(money("high"), 2).cast("double").alias("max_amount_mxn"),
         "pane_timing",
         "firing_id",
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from lossline.operators import events as ev
 
@@ -20,6 +20,13 @@ def append_batches(path: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
+def latest(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Of an update-mode sink read back, the row of the last batch for each key."""
+    rest = [c for c in rows.columns if c not in keys]
+    last = F.max_by(F.struct(*rest), BATCH).alias("last")
+    return rows.groupBy(*keys).agg(last).select(*keys, *[f"last.{c}" for c in rest])
+
+
 def route_batches(
     valid_path: str, dead_path: str, subscribers: dict[str, dict[str, list[str]]] | None = None
 ) -> Callable[[DataFrame, int], None]:
