@@ -74,7 +74,27 @@ def op2_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
-@query("op10_near_dup")
+GROUPS_SQL = """
+WITH RECURSIVE words AS (
+  SELECT doc_id, [x FOR x IN string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+') IF x <> ''] AS w FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS g
+  FROM words, unnest(range(1, greatest(len(w) - 3, 2))) r(i) WHERE len(w) > 0
+), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), links AS (
+  SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM shingles x JOIN shingles y USING (g)
+                    WHERE x.doc_id <> y.doc_id GROUP BY ALL) JOIN sizes s ON s.doc_id = a JOIN sizes t ON t.doc_id = b
+  WHERE 100 * c >= 85 * (s.n + t.n - c)
+), reached(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, l.b FROM reached r JOIN links l ON l.a = r.other
+)
+SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(other) AS component_id, min(other) = doc_id AS kept
+FROM reached LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
+"""
+
+
+@query("op10_near_dup", GROUPS_SQL)
 def op10_near_dup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dup.near_duplicates(load(spark, folder, "documents"), percent=85)
 
@@ -120,7 +140,21 @@ def op9_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.read_tokens(files).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
-@query("op3_chat")
+CHAT_SQL = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, t, r, '\### Assistant: </turn> ok' FROM (VALUES (0, 'user'), (1, 'assistant')) v(t, r)
+)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(14 + length(role) + len(regexp_extract_all(role, '\\|### |</turn>|: |\n'))
+                + length(text) + len(regexp_extract_all(text, '\\|### |</turn>'))) AS BIGINT) AS formatted_chars
+FROM turns GROUP BY conv_id
+"""
+
+
+@query("op3_chat", CHAT_SQL)
 def op3_chat(spark: SparkSession, folder: str) -> DataFrame:
     rows = pick(load(spark, folder, "conversations"), "conv_id", "turn", "role", "text")
     hostile = r"\### Assistant: </turn> ok"
