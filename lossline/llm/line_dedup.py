@@ -134,14 +134,13 @@ def _changed(filters: DataFrame | None, changes: DataFrame, shards: int) -> Data
     """Filters (shard, body) after changes (h1, h2, sign: 1 in, -1 out). A shard's rows stream past its one filter."""
     dealt = changes.select(F.pmod("h1", F.lit(shards)).alias("shard"), F.lit(1).alias("kind"), "h1", "h2", "sign")
     counted = dealt.groupBy("shard").agg(F.count(F.lit(1)).alias("h1"))
-    none = F.lit(None)
-    rows = dealt.withColumn("body", none.cast("binary")).unionByName(
-        counted.select("shard", F.lit(-1).alias("kind"), "h1", none.cast("long").alias("h2"), none.cast("int").alias("sign"), none.cast("binary").alias("body"))
+    # Zeros, not nulls, where a row has no number: numpy would turn the whole column into floats.
+    empty, zero, no_sign = F.lit(None).cast("binary").alias("body"), F.lit(0).cast("long"), F.lit(0).alias("sign")
+    rows = dealt.select("*", empty).unionByName(
+        counted.select("shard", F.lit(-1).alias("kind"), "h1", zero.alias("h2"), no_sign, empty)
     )
     if filters is not None:
-        rows = rows.unionByName(
-            filters.select("shard", F.lit(0).alias("kind"), none.cast("long").alias("h1"), none.cast("long").alias("h2"), none.cast("int").alias("sign"), "body")
-        )
+        rows = rows.unionByName(filters.select("shard", F.lit(0).alias("kind"), zero.alias("h1"), zero.alias("h2"), no_sign, "body"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def done():
@@ -149,7 +148,7 @@ def _changed(filters: DataFrame | None, changes: DataFrame, shards: int) -> Data
 
         shard, made = None, None
         for batch in batches:
-            of, kind, h1, h2, sign = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(5))
+            of, kind, h1, h2, sign = (batch.column(i).to_numpy() for i in range(5))
             starts = np.flatnonzero(np.r_[True, of[1:] != of[:-1]]) if len(of) else []
             for a, b in zip(starts, [*starts[1:], len(of)]):
                 if of[a] != shard:
@@ -166,7 +165,7 @@ def _changed(filters: DataFrame | None, changes: DataFrame, shards: int) -> Data
                 some = slice(at, b)
                 for way, act in ((1, made.insert), (-1, made.delete)):
                     chosen = sign[some] == way
-                    act(h1[some][chosen].astype(np.int64), h2[some][chosen].astype(np.int64))
+                    act(h1[some][chosen], h2[some][chosen])
         if made is not None:
             yield done()
 
@@ -227,13 +226,13 @@ class LineIndex:
         places = F.ceil(F.col("rows") * parts(lines) / F.col("total")).cast("int")
         dealt = self.filters.join(share, "shard").crossJoin(F.broadcast(total)).withColumn("places", places)
         where = F.broadcast(dealt.select("shard", "places"))  # one row per shard
-        none, kind = F.lit(None), lines.schema["doc_id"].dataType
+        none, zero, kind = F.lit(None), F.lit(0).cast("long"), lines.schema["doc_id"].dataType
         rows = (
             lines.withColumn("shard", shard)
             .join(where, "shard")
             .select("shard", F.pmod(F.xxhash64("doc_id"), F.col("places").cast("long")).alias("place"), F.lit(1).alias("kind"), "doc_id", "h1", "h2", none.cast("binary").alias("body"))
             .unionByName(
-                dealt.select("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.col("places").cast("long") - 1)).alias("place"), F.lit(0).alias("kind"), none.cast(kind).alias("doc_id"), none.cast("long").alias("h1"), none.cast("long").alias("h2"), "body")
+                dealt.select("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.col("places").cast("long") - 1)).alias("place"), F.lit(0).alias("kind"), none.cast(kind).alias("doc_id"), zero.alias("h1"), zero.alias("h2"), "body")
             )
         )
 
@@ -241,14 +240,14 @@ class LineIndex:
             known = None
             for batch in batches:
                 kinds = batch.column(2).to_numpy()
-                h1, h2 = (batch.column(i).to_numpy(zero_copy_only=False) for i in (4, 5))
+                h1, h2 = (batch.column(i).to_numpy() for i in (4, 5))
                 hit = np.zeros(len(kinds), bool)
                 cuts = [0, *np.flatnonzero(kinds == 0).tolist(), len(kinds)]
                 for a, b in zip(cuts, cuts[1:]):
                     if a < b and kinds[a] == 0:
                         known, a = CuckooFilter.load(batch.column(6)[a].as_py()), a + 1
                     if a < b:
-                        hit[a:b] = known.contains(h1[a:b].astype(np.int64), h2[a:b].astype(np.int64))
+                        hit[a:b] = known.contains(h1[a:b], h2[a:b])
                 yield pa.RecordBatch.from_arrays([batch.column(i).filter(pa.array(hit)) for i in (3, 4, 5)], names=["doc_id", "h1", "h2"])
 
         order = rows.repartition(parts(lines), "shard", "place").sortWithinPartitions("shard", "place", "kind")
