@@ -22,7 +22,7 @@ from lossline.llm.common import pick, slices
 #: Words and space-separated pieces a worker remembers; beyond, those of a batch are forgotten after it.
 WORDS_KEPT, PIECES_KEPT = 300_000, 120_000
 #: Bytes of text encoded together: many, so that many new words share a matrix.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 3 << 20
 #: Longest word, in bytes, whose tree shares a matrix with other words.
 SHARED_TREE = 64
 NO_PAIR = np.int64(1) << 60
@@ -198,7 +198,7 @@ class Vocabulary:
 
 
 class Encoder:
-    """Whole texts to ids. What a worker has met stays known to its later tasks as long as there is room."""
+    """Whole texts to ids. What it has met stays known to it as long as there is room."""
 
     def __init__(self, vocabulary: Vocabulary, merge: Callable[[list[bytes]], list[bytes]] | None = None):
         self.vocabulary, self.merge = vocabulary, merge or vocabulary.merge
@@ -261,7 +261,7 @@ def by_library(vocabulary: Vocabulary) -> Callable[[list[bytes]], list[bytes]]:
 
 
 def encoder(source: str, merge: str = "tree") -> Encoder:
-    """The worker's encoder for a vocabulary; made once, used by all its tasks."""
+    """The worker's encoder for a vocabulary, kept for later tasks until they are cleared."""
     key = hashlib.sha256(source.encode()).hexdigest(), merge
     if key not in _ENCODERS:
         vocabulary = Vocabulary(source)
@@ -292,6 +292,7 @@ def encode_documents(docs: DataFrame, vocabulary_path: str, decode: bool = True)
             if decode:
                 columns.append(pa.array(list(map(made.vocabulary.decode, ids)), pa.string()))
             yield pa.RecordBatch.from_arrays(columns, schema=pa.schema([batch.schema.field(0), *fields]))
+        _ENCODERS.clear()  # a worker lives on for other stages, which need its memory
 
     read = pick(docs, "doc_id", "text").select("doc_id", F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("text"))
     kind = read.schema["doc_id"].dataType.simpleString()
