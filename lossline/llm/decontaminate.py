@@ -31,8 +31,13 @@ def windows_of(items: DataFrame, window: int = WINDOW) -> DataFrame:
     return cut.select("item_id", F.slice("w", F.col("start"), F.lit(window)).alias("words")).distinct().withColumn("span", F.size("words"))
 
 
+def spelled(docs: DataFrame, *more: str) -> DataFrame:
+    """doc_id, spelled (words), more. A generator of one row keeps Spark from working out the words again and again."""
+    return docs.select("doc_id", *more, F.explode(F.array(words_of("text"))).alias("spelled"))
+
+
 def occurrences(docs: DataFrame, windows: DataFrame) -> DataFrame:
-    """doc_id, item_id, start, span: every place of a window in a document. docs: doc_id, spelled (words)."""
+    """doc_id, start, span, items: every place of a window in a document. docs: doc_id, text."""
     # The word as Spark lower-cases it is a coarser key than A-Z alone: equal windows agree on it, and the comparison
     # at the end is the exact one.
     numbered = windows.groupBy("words").agg(F.collect_set("item_id").alias("items")).withColumn("window", F.xxhash64("words"))
@@ -40,7 +45,7 @@ def occurrences(docs: DataFrame, windows: DataFrame) -> DataFrame:
     tokens = numbered.select("window", "words", F.posexplode("words").alias("at", "word")).withColumn("token", F.lower("word"))
     # Written, so that Spark knows the size before it plans: a small one is sent to the words, a large one makes a shuffle.
     vocabulary = write(tokens.select("token").distinct(), "vocabulary")
-    corpus = docs.select(F.explode("spelled").alias("word")).select(F.lower("word").alias("token"))
+    corpus = spelled(docs).select(F.explode_outer("spelled").alias("word")).select(F.lower("word").alias("token"))
     counts = corpus.join(vocabulary, "token", "left_semi").groupBy("token").agg(F.count(F.lit(1)).alias("n"))
     rarity = tokens.join(counts, "token", "left").withColumn("n", F.coalesce("n", F.lit(0)))
     # A window with a word that the corpus lacks occurs nowhere.
@@ -52,17 +57,23 @@ def occurrences(docs: DataFrame, windows: DataFrame) -> DataFrame:
         "prefixes",
     )
     rare = write(prefixes.select("token").distinct(), "rare")
-    places = docs.select("doc_id", F.size("spelled").alias("n_words"), F.posexplode("spelled").alias("pos", "word"))
+    places = spelled(docs).select("doc_id", F.size("spelled").alias("n_words"), F.posexplode_outer("spelled").alias("pos", "word"))
     found = (
         places.select("doc_id", "n_words", "pos", F.lower("word").alias("token"))
         .join(rare, "token", "left_semi")
         .join(prefixes, "token")
         .withColumn("start", F.col("pos") - F.col("at"))
         .filter((F.col("start") >= 0) & (F.col("start") + F.col("span") <= F.col("n_words")))
-        .select("doc_id", "start", "span", "words")
+        .groupBy("doc_id")
+        .agg(F.collect_list(F.struct("start", "span", "words")).alias("places"))  # at most one a word and window
     )
-    there = F.transform(F.slice("spelled", F.col("start") + 1, F.col("span")), lambda w: F.translate(w, UPPER, LOWER))
-    same = found.join(docs, "doc_id").filter(there == F.col("words")).select("doc_id", "start", "span", "words")
+
+    def there(place):
+        return F.transform(F.slice("spelled", place["start"] + 1, place["span"]), lambda w: F.translate(w, UPPER, LOWER))
+
+    # Whole texts are dealt out once and cut into words where a document has candidates.
+    met = spelled(docs.join(found, "doc_id"), "places")
+    same = met.select("doc_id", F.inline(F.filter("places", lambda p: there(p) == p["words"])))
     return same.join(numbered.select("words", "items"), "words").select("doc_id", "start", "span", "items")
 
 
@@ -73,7 +84,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
     texts have no words. Items without words, or with null text, have no window; a null item_id names no item. Rows that
     repeat a doc_id count as one document with the words of each, so they share its hits; a null doc_id has none.
     """
-    read = pick(docs, "doc_id", "text").withColumn("spelled", words_of("text")).select("doc_id", "spelled")
+    read = pick(docs, "doc_id", "text")
     found = write(occurrences(read, windows_of(items, window)), "occurrences")
     order = Window.partitionBy("doc_id").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
     spans = found.groupBy("doc_id", "start").agg(F.max(F.col("start") + F.col("span")).alias("end"))
@@ -81,7 +92,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
     hits = spans.withColumn("covered", covered).groupBy("doc_id").agg(F.sum("covered").alias("n_hit"))
     named = found.select("doc_id", F.explode("items").alias("item")).groupBy("doc_id").agg(F.collect_set(F.col("item").cast("string")).alias("items"))
     about = hits.join(named, "doc_id", "left")
-    counted = read.select("doc_id", F.size("spelled").cast("long").alias("n_words"))
+    counted = read.select("doc_id", F.size(words_of("text")).cast("long").alias("n_words"))
     none = F.array().cast("array<string>")
     return counted.join(about, "doc_id", "left").select(
         "doc_id",
