@@ -163,13 +163,15 @@ def repeated_spans(docs: DataFrame, window: int = 35) -> DataFrame:
     """d, r, spans (start << 8 | windows after it): where the repeated windows of each row start. Rows without have none."""
     rows = _rows(docs)
     found = _records(rows, window)
-    twice = found.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor")
+    # Sums are written before they are joined: Spark splits a join's hot key only where both sides come as they were dealt.
+    twice = write(found.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor"), "twice")
     shared = write(found.join(twice, "anchor", "left_semi"), "shared-anchors")
     own = F.xxhash64("d", "r", "place")
-    kinds = shared.groupBy("anchor", "whole").agg(F.count(F.lit(1)).alias("n"), F.min(own).alias("teller"))
+    kinds = write(shared.groupBy("anchor", "whole").agg(F.count(F.lit(1)).alias("n"), F.min(own).alias("teller")), "kinds")
     mixed = kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds"), F.min("n").alias("least"))
     asked = (F.col("kinds") > 1) & (F.col("least") == 1)
     judged = kinds.join(mixed, "anchor").select("anchor", "whole", "n", "teller", asked.alias("asked")).filter("n > 1 OR asked")
+    judged = write(judged, "judged")
     marks = (
         shared.join(judged, ["anchor", "whole"])
         .withColumn("tell", F.when(F.col("asked") & (F.col("teller") == own), F.col("place") * 2 + F.when(F.col("n") == 1, 1).otherwise(0)))
