@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lossline import session
 from lossline.llm import bpe, decontaminate, langid, line_dedup, near_dup
-from lossline.llm.common import hidden, load, write
+from lossline.llm.common import hidden, load, settle, write
 from lossline.llm.queries import vocabulary_path
 
 #: Below this probability a text has no clear language. Four languages in equal parts would have a quarter each.
@@ -26,6 +25,7 @@ def _with_text(docs: DataFrame, changed: DataFrame) -> DataFrame:
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language the network can tell; null texts and texts without letters go. The network is fitted on
     the labelled rows of the raw documents that operator 6 may learn from."""
+    settle(spark)
     found = langid.identify(docs, langid.fit(load(spark, sf_dir, "documents")))
     inner, _, (label, score) = hidden(found, "lang_pred", "lang_score")
     told = inner.filter((F.col(label) != langid.UNDETERMINED) & (F.col(score) >= LEAST_LANGUAGE_SCORE))
@@ -34,11 +34,13 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document without the lines that ten documents share; n_chars follows the text."""
+    settle(spark)
     return _with_text(docs, line_dedup.dedup_lines(docs, threshold=10, least=1))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-copies: that of the smallest doc_id. Documents without words are no copies."""
+    settle(spark)
     groups = near_dup.near_duplicates(docs, percent=85)
     dropped = groups.filter(~F.col("kept") & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("_drop")).distinct()
     inner, names, (doc_id,) = hidden(docs, "doc_id")
@@ -47,11 +49,13 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no window of a benchmark item."""
+    settle(spark)
     return decontaminate.clean(docs, load(spark, sf_dir, "benchmark"))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids (little-endian unsigned 32-bit) and the text that they decode to."""
+    settle(spark)
     made = bpe.encode_documents(docs, vocabulary_path())
     return made.select("doc_id", F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids", "decoded")
 
@@ -70,7 +74,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages; between two of them the documents are written to the shared folder and read again."""
-    session.configure(spark)
     docs = load(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = write(stage(spark, docs, sf_dir), f"stage-{name}")

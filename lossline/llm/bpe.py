@@ -250,6 +250,12 @@ class Encoder:
 _ENCODERS: dict[tuple[str, str], Encoder] = {}
 
 
+def release() -> None:
+    """Forget the encoders: a worker lives on for other stages, which need its memory."""
+    _ENCODERS.clear()
+    pa.default_memory_pool().release_unused()
+
+
 def by_library(vocabulary: Vocabulary) -> Callable[[list[bytes]], list[bytes]]:
     """Merge words with the `tokenizers` library."""
     model, signs = vocabulary.library.model, vocabulary.signs
@@ -292,7 +298,7 @@ def encode_documents(docs: DataFrame, vocabulary_path: str, decode: bool = True)
             if decode:
                 columns.append(pa.array(list(map(made.vocabulary.decode, ids)), pa.string()))
             yield pa.RecordBatch.from_arrays(columns, schema=pa.schema([batch.schema.field(0), *fields]))
-        _ENCODERS.clear()  # a worker lives on for other stages, which need its memory
+        release()
 
     read = pick(docs, "doc_id", "text").select("doc_id", F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("text"))
     kind = read.schema["doc_id"].dataType.simpleString()

@@ -7,12 +7,26 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from lossline.session import materialise
+from lossline.session import configure, materialise
 
 #: Rows that one Python step handles at once; bounds its memory together with SLICE_BYTES.
 SLICE_ROWS, SLICE_BYTES = 4096, 1 << 20
 
 
+#: Rows and bytes that Spark hands to a Python step at once: texts are long, and a batch is held several times.
+BATCH_SETTINGS = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20),
+}
+
+
+def settle(spark: SparkSession) -> None:
+    """Apply the settings that the operators rely on to the session."""
+    configure(spark)
+    for key, value in BATCH_SETTINGS.items():
+        spark.conf.set(key, value)
+
+
 def load(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
@@ -37,6 +51,7 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, limit: int = SLICE_BYTE
         rows = max(1, min(SLICE_ROWS, int(limit / max(1.0, sizes / max(1, batch.num_rows)))))
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+    pa.default_memory_pool().release_unused()  # the worker lives on for other stages
 
 
 def write(df: DataFrame, name: str) -> DataFrame:

@@ -6,9 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lossline import session
 from lossline.llm import ball_tree, bpe, chat, decontaminate, langid, line_dedup, near_dup, recompression, shards, token_files
-from lossline.llm.common import load, pick, write
+from lossline.llm.common import load, pick, settle, write
 
 #: Where the vocabulary files lie; a parameter, since they belong to another package.
 VOCABULARY = "word_bpe_49k.json"
@@ -26,7 +25,7 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
 def query(name: str, oracle: str | None = None):
     def register(build: Callable[[SparkSession, str], DataFrame]):
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            session.configure(spark)
+            settle(spark)
             return build(spark, folder)
 
         _QUERIES[name] = run
