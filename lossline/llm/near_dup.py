@@ -203,7 +203,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     )
     keyed = classes.select("rep", "n", F.explode("bands").alias("key"))
     pivots = keyed.groupBy("key").agg(F.min("rep").alias("pivot"), F.min_by("n", "rep").alias("pn"), F.count(F.lit(1)).alias("members"))
-    shared = pivots.filter(F.col("members") > 1).drop("members")
+    # Written first: Spark splits the hot keys of a join only where both sides come as they were dealt.
+    shared = write(pivots.filter(F.col("members") > 1).drop("members"), "buckets")
     members = write(keyed.join(shared, "key").withColumn("label", F.col("rep")), "members")
     wanted = classes.select("rep", "s1").join(members.select("rep").distinct(), "rep", "left_semi")
     links = _Links(write(full_sets(docs, wanted), "sets"), percent)
