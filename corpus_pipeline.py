@@ -10,6 +10,8 @@ from lossline.llm.queries import vocabulary_path
 
 #: Below this probability a text has no clear language. Four languages in equal parts would have a quarter each.
 LEAST_LANGUAGE_SCORE = 0.35
+#: Shares of common word shingles from which two documents are near copies.
+LEAST_SIMILARITY_PERCENT = 80
 
 
 def _with_text(docs: DataFrame, changed: DataFrame) -> DataFrame:
@@ -41,7 +43,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-copies: that of the smallest doc_id. Documents without words are no copies."""
     settle(spark)
-    groups = near_dup.near_duplicates(docs, percent=85)
+    groups = near_dup.near_duplicates(docs, percent=LEAST_SIMILARITY_PERCENT)
     dropped = groups.filter(~F.col("kept") & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("_drop")).distinct()
     inner, names, (doc_id,) = hidden(docs, "doc_id")
     return inner.join(write(dropped, "copies"), F.col(doc_id) == F.col("_drop"), "left_anti").toDF(*names)

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from test_decontaminate import expected as windows
 from test_line_dedup import expected as line_rows
-from test_near_dup import expected as groups
+from test_near_dup import expected as groups, shingles
 
 import corpus_pipeline
 from lossline.llm import bpe
@@ -81,3 +81,20 @@ def test_odd_and_empty_tables(spark, folder):
             state = stage(spark, state, folder)
             assert state.columns == docs.columns
         assert corpus_pipeline.tokens(spark, state, folder).count() == state.count()
+
+
+def test_near_copies_from_a_similarity_of_080(spark, folder):
+    """Of pairs on both sides of 0.8, and of one beyond 0.85, those from 0.8 on lose a document."""
+    rows = []
+    for n, changes in enumerate((3, 4, 5)):
+        one = [f"p{n}w{i}" for i in range(204)]
+        other = list(one)
+        for k in range(changes):
+            other[20 + 40 * k if k < 4 else 190] = f"p{n}c{k}"
+        rows += [(2 * n, " ".join(one)), (2 * n + 1, " ".join(other))]
+    sets = [shingles(t) for _, t in rows]
+    alike = [len(a & b) / len(a | b) for a, b in zip(sets[::2], sets[1::2])]
+    assert alike[0] >= 0.85 and 0.8 < alike[1] < 0.85 and alike[2] < 0.8
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = corpus_pipeline.near_copies(spark, docs, folder)
+    assert sorted(r.doc_id for r in kept.collect()) == [0, 2, 4, 5]
