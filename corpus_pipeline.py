@@ -41,12 +41,18 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-copies: that of the smallest doc_id. Documents without words are no copies."""
+    """One document of each group of near-copies: that of the smallest doc_id, of several texts under it that of the smallest
+    hash. Rows are judged one by one, so another row of the same doc_id takes none with it; a row repeated with doc_id and
+    text is one document. Documents without words are no copies."""
     settle(spark)
-    groups = near_dup.near_duplicates(docs, percent=LEAST_SIMILARITY_PERCENT)
-    dropped = groups.filter(~F.col("kept") & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("_drop")).distinct()
-    inner, names, (doc_id,) = hidden(docs, "doc_id")
-    return inner.join(write(dropped, "copies"), F.col(doc_id) == F.col("_drop"), "left_anti").toDF(*names)
+    found = near_dup.groups(docs, percent=LEAST_SIMILARITY_PERCENT).filter(F.col("component").isNotNull())
+    found = found.select("component", F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "k1", "k2").alias("row"))
+    found = write(found, "groups")
+    first = write(found.groupBy("component").agg(F.min("row").alias("first")), "first")
+    dropped = found.join(first, "component").filter(F.col("row") != F.col("first")).select("row.k1", "row.k2").distinct()
+    inner, names, (doc_id, text) = hidden(docs, "doc_id", "text")
+    keyed = inner.withColumns(near_dup.row_keys(doc_id, text))
+    return keyed.join(write(dropped, "copies"), ["k1", "k2"], "left_anti").select(*inner.columns).toDF(*names)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -95,34 +95,42 @@ def band_keys(signature: np.ndarray) -> np.ndarray:
     return key
 
 
+def row_keys(doc_id: str, text: str) -> dict[str, F.Column]:
+    """k1, k2: 128 bits that tell rows of different doc_id or text apart, null or not; equal rows share them."""
+    row = F.col(doc_id).cast("long"), F.coalesce(F.col(text).cast("binary"), F.lit(b""))
+    return {f"k{salt}": F.xxhash64(F.lit(salt), *row) for salt in (1, 2)}
+
+
 def _read(docs: DataFrame) -> DataFrame:
     return pick(docs, "doc_id", "text").select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("text")
+        F.col("doc_id").cast("long").alias("doc_id"),
+        *[key.alias(name) for name, key in row_keys("doc_id", "text").items()],
+        F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("text"),
     )
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, s1, s2 (digest of the whole set), bands."""
+    """doc_id, k1, k2, n_shingles, s1, s2 (digest of the whole set), bands."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            values, first = shingle_sets(batch.column(1).to_pylist())
+            values, first = shingle_sets(batch.column(3).to_pylist())
             sizes = np.diff(first)
             sums = [np.r_[np.uint64(0), np.cumsum(mix(values ^ np.uint64(salt)), dtype=np.uint64)] for salt in (0x51, 0xA7)]
             digests = [(s[first[1:]] - s[first[:-1]]).astype(np.uint64).view(np.int64) for s in sums]
             keys = band_keys(super_minhash(values, first)).view(np.int64)
             bands = pa.ListArray.from_arrays(np.arange(0, keys.size + 1, BANDS, dtype=np.int32), pa.array(keys.ravel()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes), *map(pa.array, digests), bands],
-                names=["doc_id", "n_shingles", "s1", "s2", "bands"],
+                [*batch.columns[:3], pa.array(sizes), *map(pa.array, digests), bands],
+                names=["doc_id", "k1", "k2", "n_shingles", "s1", "s2", "bands"],
             )
 
-    return _read(docs).mapInArrow(run, "doc_id long, n_shingles long, s1 long, s2 long, bands array<long>")
+    return _read(docs).mapInArrow(run, "doc_id long, k1 long, k2 long, n_shingles long, s1 long, s2 long, bands array<long>")
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """rep, shingles, counts: the whole set of each wanted document (wanted: rep, s1), one row each, and how many of its
-    shingles fall into each of PARTS parts of all hashes."""
+    """rep, shingles, counts: the whole set of each wanted class (wanted: rep, k1, k2 of a row of it, s1), one row each, and how
+    many of its shingles fall into each of PARTS parts of all hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
@@ -135,8 +143,8 @@ def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             counts = pa.ListArray.from_arrays(np.arange(0, counts.size + 1, PARTS, dtype=np.int32), pa.array(counts))
             yield pa.RecordBatch.from_arrays([batch.column(0), sets, counts], names=["rep", "shingles", "counts"]).filter(pa.array(same))
 
-    rows = _read(docs).join(wanted.withColumnRenamed("rep", "doc_id"), "doc_id")
-    return rows.select("doc_id", "text", "s1").mapInArrow(run, "rep long, shingles array<long>, counts array<int>").dropDuplicates(["rep"])
+    rows = _read(docs).join(wanted, ["k1", "k2"])
+    return rows.select("rep", "text", "s1").mapInArrow(run, "rep long, shingles array<long>, counts array<int>").dropDuplicates(["rep"])
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -185,20 +193,32 @@ def _relabel(rows: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for every row.
+    """doc_id, n_shingles, component_id, kept for every row, as told by groups()."""
+    return groups(docs, percent).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def groups(docs: DataFrame, percent: int = 85) -> DataFrame:
+    """doc_id, k1, k2, n_shingles, component (null without words), component_id, kept for every row.
 
     Rows are linked if 100 * |A & B| >= percent * |A | B| for their sets of lower-cased (A-Z) five-word shingles.
     component_id is the smallest doc_id of all rows that a chain of links reaches; kept says that it is the row's own.
     A text without words, or null, has an empty set and stays alone. Rows that repeat a doc_id are judged by their own
-    text, and both are kept if it is the smallest. A row without doc_id joins the component of rows of the same set, but
+    text, and both are kept if it is the smallest. Two components may thus have one component_id; component tells them apart. A row without doc_id joins the component of rows of the same set, but
     leads none: its component_id is null if no such row has an id. An empty table gives an empty one.
     """
     rows = write(sketches(docs), "sketches")
     sized = rows.filter(F.col("n_shingles") > 0)
+    # Named by their place in the written table: a doc_id may have rows of several classes.
     classes = write(
         sized.filter(F.col("doc_id").isNotNull())
         .groupBy("s1", "s2")
-        .agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")),
+        .agg(
+            F.min("doc_id").alias("least"),
+            F.min(F.struct("k1", "k2")).alias("row"),
+            F.first("n_shingles").alias("n"),
+            F.first("bands").alias("bands"),
+        )
+        .withColumn("rep", F.monotonically_increasing_id()),
         "classes",
     )
     keyed = classes.select("rep", "n", F.explode("bands").alias("key"))
@@ -206,7 +226,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     # Written first: Spark splits the hot keys of a join only where both sides come as they were dealt.
     shared = write(pivots.filter(F.col("members") > 1).drop("members"), "buckets")
     members = write(keyed.join(shared, "key").withColumn("label", F.col("rep")), "members")
-    wanted = classes.select("rep", "s1").join(members.select("rep").distinct(), "rep", "left_semi")
+    wanted = classes.select("rep", "row.k1", "row.k2", "s1").join(members.select("rep").distinct(), "rep", "left_semi")
     links = _Links(write(full_sets(docs, wanted), "sets"), percent)
 
     close = F.least("n", "pn") * 100 >= F.greatest("n", "pn") * percent
@@ -245,10 +265,14 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
         live = _undecided(live)
         some *= PIVOTS
 
-    named = classes.select("s1", "s2", F.col("rep").alias("label"))
-    out = rows.join(_relabel(named, labels), ["s1", "s2"], "left")
-    own = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("label"))
-    return out.select("doc_id", "n_shingles", own.alias("component_id"), own.eqNullSafe(F.col("doc_id")).alias("kept"))
+    named = classes.select("s1", "s2", "least", F.col("rep").alias("label"))
+    named = write(_relabel(named, labels), "named")
+    ids = write(named.groupBy("label").agg(F.min("least").alias("id")), "components")
+    out = rows.join(named.drop("least").join(ids, "label"), ["s1", "s2"], "left")
+    own = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("id"))
+    return out.select(
+        "doc_id", "k1", "k2", "n_shingles", F.col("label").alias("component"), own.alias("component_id"), own.eqNullSafe(F.col("doc_id")).alias("kept")
+    )
 
 
 def _undecided(live: DataFrame) -> DataFrame:

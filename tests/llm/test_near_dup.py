@@ -99,3 +99,21 @@ def test_components(spark):
                 seen.add(other)
                 todo.append(other)
         assert found.get(node, node) == min(seen)
+
+
+def test_one_doc_id_with_several_texts(spark):
+    """Linked texts of one doc_id, and two groups that share their smallest doc_id but nothing else."""
+    draw = random.Random(8)
+    rows = []
+    for g in range(6):
+        base = [f"g{g}w{draw.randint(0, 10**6)}" for _ in range(150)]
+        for i in range(5):
+            words = list(base)
+            words[20 + 25 * i] = f"g{g}c{i}"
+            rows.append((1 if i == 0 else 10 * g + 10 + i, " ".join(words)))
+    rows += [(1, rows[0][1].replace("c0", "d0")), rows[3], (1, "nothing like the others at all")]
+    draw.shuffle(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted((tuple(r) for r in near_dup.near_duplicates(docs).collect()), key=str) == expected(rows)
+    found = near_dup.groups(docs).filter("n_shingles > 0").select("component").distinct()
+    assert found.count() == 7  # six groups and the one text that is like no other

@@ -98,3 +98,15 @@ def test_near_copies_from_a_similarity_of_080(spark, folder):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     kept = corpus_pipeline.near_copies(spark, docs, folder)
     assert sorted(r.doc_id for r in kept.collect()) == [0, 2, 4, 5]
+
+
+def test_near_copies_go_by_row(spark, folder):
+    """A doc_id with two texts loses only the one that is a copy; two texts of the smallest doc_id leave one."""
+    base = [[f"t{n}w{i}" for i in range(150)] for n in range(4)]
+    near = lambda n, i: " ".join([*base[n][:i], "changed", *base[n][i + 1 :]])
+    text = lambda n: " ".join(base[n])
+    rows = [(1, text(0)), (2, near(0, 40)), (2, text(1)), (3, text(2)), (3, near(2, 30)), (4, near(2, 90)), (5, text(3)), (5, text(3)), (6, near(3, 9))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted((r.doc_id, r.text) for r in corpus_pipeline.near_copies(spark, docs, folder).collect())
+    assert [r for r in kept if r[0] != 3] == [(1, text(0)), (2, text(1)), (5, text(3)), (5, text(3))]
+    assert [r for r in kept if r[0] == 3] in ([(3, text(2))], [(3, near(2, 30))])
