@@ -43,16 +43,24 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-copies: that of the smallest doc_id, of several texts under it that of the smallest
     hash. Rows are judged one by one, so another row of the same doc_id takes none with it; a row repeated with doc_id and
-    text is one document. Documents without words are no copies."""
+    text is one document. Of a group without doc_id one row stays. Documents without words are no copies."""
     settle(spark)
     found = near_dup.groups(docs, percent=LEAST_SIMILARITY_PERCENT).filter(F.col("component").isNotNull())
     found = found.select("component", F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "k1", "k2").alias("row"))
     found = write(found, "groups")
     first = write(found.groupBy("component").agg(F.min("row").alias("first")), "first")
     dropped = found.join(first, "component").filter(F.col("row") != F.col("first")).select("row.k1", "row.k2").distinct()
+    dropped = write(dropped, "copies")
     inner, names, (doc_id, text) = hidden(docs, "doc_id", "text")
     keyed = inner.withColumns(near_dup.row_keys(doc_id, text))
-    return keyed.join(write(dropped, "copies"), ["k1", "k2"], "left_anti").select(*inner.columns).toDF(*names)
+    kept = keyed.join(dropped, ["k1", "k2"], "left_anti")
+    # Equal rows without doc_id are copies of each other: those that stay are taken once.
+    unnamed = found.filter("row.unnamed").groupBy("row.k1", "row.k2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    equal = write(unnamed.select("k1", "k2"), "equal")
+    if equal.limit(1).count():
+        once = kept.filter(F.col(doc_id).isNull()).join(equal, ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"])
+        kept = kept.join(equal, ["k1", "k2"], "left_anti").unionByName(once)
+    return kept.select(*inner.columns).toDF(*names)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -36,8 +36,14 @@ def spelled(docs: DataFrame, *more: str) -> DataFrame:
     return docs.select("doc_id", *more, F.explode(F.array(words_of("text"))).alias("spelled"))
 
 
+def key_of(doc_id: str, text: str) -> F.Column:
+    """What tells a document: its doc_id, or 128 bits of its text if it has none."""
+    unnamed = [F.when(F.col(doc_id).isNull(), F.xxhash64(F.lit(salt), text)).alias(f"k{salt}") for salt in (1, 2)]
+    return F.struct(F.col(doc_id).alias("id"), *unnamed)
+
+
 def occurrences(docs: DataFrame, windows: DataFrame) -> DataFrame:
-    """doc_id, start, span, items: every place of a window in a document. docs: doc_id, text."""
+    """doc_id, start, span, items: every place of a window in a document. docs: doc_id (of any type), text."""
     # The word as Spark lower-cases it is a coarser key than A-Z alone: equal windows agree on it, and the comparison
     # at the end is the exact one.
     numbered = windows.groupBy("words").agg(F.collect_set("item_id").alias("items")).withColumn("window", F.xxhash64("words"))
@@ -65,7 +71,7 @@ def occurrences(docs: DataFrame, windows: DataFrame) -> DataFrame:
         .withColumn("start", F.col("pos") - F.col("at"))
         .filter((F.col("start") >= 0) & (F.col("start") + F.col("span") <= F.col("n_words")))
         .groupBy("doc_id")
-        .agg(F.collect_list(F.struct("start", "span", "words")).alias("places"))  # at most one a word and window
+        .agg(F.collect_set(F.struct("start", "span", "words")).alias("places"))  # rows of equal text share theirs
     )
 
     def there(place):
@@ -105,7 +111,9 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
 
 
 def clean(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
-    """The rows of docs, all columns, of documents without a hit."""
-    hit = decontaminate(docs, items, window).filter("contaminated").select(F.col("doc_id").alias("_hit")).distinct()
-    inner, names, (doc_id,) = hidden(docs, "doc_id")
-    return inner.join(hit, F.col(doc_id) == F.col("_hit"), "left_anti").toDF(*names)
+    """The rows of docs, all columns, of documents without a hit. A row without doc_id is judged by its own text."""
+    inner, names, (doc_id, text) = hidden(docs, "doc_id", "text")
+    read = inner.select(key_of(doc_id, text).alias("doc_id"), F.col(text).alias("text"))
+    hit = write(occurrences(read, windows_of(items, window)).select(F.col("doc_id").alias("_hit")).distinct(), "hit")
+    keyed = inner.withColumn("_key", key_of(doc_id, text))
+    return keyed.join(hit, F.col("_key") == F.col("_hit"), "left_anti").select(*inner.columns).toDF(*names)

@@ -203,15 +203,14 @@ def groups(docs: DataFrame, percent: int = 85) -> DataFrame:
     Rows are linked if 100 * |A & B| >= percent * |A | B| for their sets of lower-cased (A-Z) five-word shingles.
     component_id is the smallest doc_id of all rows that a chain of links reaches; kept says that it is the row's own.
     A text without words, or null, has an empty set and stays alone. Rows that repeat a doc_id are judged by their own
-    text, and both are kept if it is the smallest. Two components may thus have one component_id; component tells them apart. A row without doc_id joins the component of rows of the same set, but
-    leads none: its component_id is null if no such row has an id. An empty table gives an empty one.
+    text, and both are kept if it is the smallest. Two components may thus have one component_id; component tells them apart. A row without doc_id is linked as any other, but
+    leads none: its component_id is null if no row of the component has an id, and all of them count as kept. An empty table gives an empty one.
     """
     rows = write(sketches(docs), "sketches")
     sized = rows.filter(F.col("n_shingles") > 0)
     # Named by their place in the written table: a doc_id may have rows of several classes.
     classes = write(
-        sized.filter(F.col("doc_id").isNotNull())
-        .groupBy("s1", "s2")
+        sized.groupBy("s1", "s2")
         .agg(
             F.min("doc_id").alias("least"),
             F.min(F.struct("k1", "k2")).alias("row"),

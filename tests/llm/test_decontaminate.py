@@ -79,3 +79,14 @@ def test_plan_has_no_python(spark):
     docs = spark.createDataFrame([(1, "a b c")], "doc_id long, text string")
     plan = decontaminate.decontaminate(docs, docs.withColumnRenamed("doc_id", "item_id"))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow|Cartesian", plan)
+
+
+def test_clean_judges_rows_without_doc_id(spark):
+    passage = " ".join(f"b{i}" for i in range(10))
+    docs = spark.createDataFrame(
+        [(None, f"x {passage} y"), (None, f"x {passage} y"), (None, "clean"), (1, passage), (2, "clean"), (None, None), (None, f"{passage} z")],
+        "doc_id long, text string",
+    )
+    bench = spark.createDataFrame([(1, passage)], "item_id long, text string")
+    kept = sorted((tuple(r) for r in decontaminate.clean(docs, bench).collect()), key=str)
+    assert kept == sorted([(None, "clean"), (2, "clean"), (None, None)], key=str)

@@ -117,3 +117,14 @@ def test_one_doc_id_with_several_texts(spark):
     assert sorted((tuple(r) for r in near_dup.near_duplicates(docs).collect()), key=str) == expected(rows)
     found = near_dup.groups(docs).filter("n_shingles > 0").select("component").distinct()
     assert found.count() == 7  # six groups and the one text that is like no other
+
+
+def test_rows_without_doc_id(spark):
+    """They are linked by near copies too, and a chain of links goes through them."""
+    base = [f"w{i}" for i in range(150)]
+    changed = lambda *places: " ".join("new" + w if i in places else w for i, w in enumerate(base))
+    rows = [(7, changed(20, 60)), (None, changed(60, 100)), (8, changed(100, 140)), (None, "alone among all these rows here")]
+    rows += [(None, changed(60, 100)), (9, "also on its own here today")]
+    assert 100 * len(shingles(rows[0][1]) & shingles(rows[2][1])) < 85 * len(shingles(rows[0][1]) | shingles(rows[2][1]))
+    check(spark, rows)
+    assert {r.component_id for r in near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()} == {7, 9, None}

@@ -110,3 +110,15 @@ def test_near_copies_go_by_row(spark, folder):
     kept = sorted((r.doc_id, r.text) for r in corpus_pipeline.near_copies(spark, docs, folder).collect())
     assert [r for r in kept if r[0] != 3] == [(1, text(0)), (2, text(1)), (5, text(3)), (5, text(3))]
     assert [r for r in kept if r[0] == 3] in ([(3, text(2))], [(3, near(2, 30))])
+
+
+def test_copies_without_doc_id(spark, folder):
+    """One row stays of equal and of near copies, that with a doc_id if there is one; texts without words all stay."""
+    base = [[f"t{n}w{i}" for i in range(150)] for n in range(3)]
+    near = lambda n, i: " ".join([*base[n][:i], "changed", *base[n][i + 1 :]])
+    text = lambda n: " ".join(base[n])
+    rows = [(None, text(0))] * 3 + [(None, text(1)), (None, near(1, 50)), (None, text(2)), (None, text(2)), (4, near(2, 70)), (None, "..."), (None, None), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [(r.doc_id, r.text) for r in corpus_pipeline.near_copies(spark, docs, folder).collect()]
+    group = lambda t: next((n for n in range(3) if t and t.startswith(f"t{n}")), None)
+    assert sorted(((i, group(t)) for i, t in kept), key=str) == sorted([(None, 0), (None, 1), (4, 2), (None, None), (None, None), (None, None)], key=str)
