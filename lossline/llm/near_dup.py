@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from lossline.llm.common import pick, slices, write
+from lossline.llm.common import parts, pick, slices, write
 from lossline.llm.words import mix, split_words
 
 WORDS = 5
@@ -208,7 +208,8 @@ def groups(docs: DataFrame, percent: int = 85) -> DataFrame:
     """
     rows = write(sketches(docs), "sketches")
     sized = rows.filter(F.col("n_shingles") > 0)
-    # Named by their place in the written table: a doc_id may have rows of several classes.
+    # Named by their place in the order of their smallest doc_ids: a doc_id may have rows of several classes.
+    order = F.col("least").asc_nulls_last(), F.col("s1"), F.col("s2")
     classes = write(
         sized.groupBy("s1", "s2")
         .agg(
@@ -217,6 +218,8 @@ def groups(docs: DataFrame, percent: int = 85) -> DataFrame:
             F.first("n_shingles").alias("n"),
             F.first("bands").alias("bands"),
         )
+        .repartitionByRange(parts(docs), *order)
+        .sortWithinPartitions(*order)
         .withColumn("rep", F.monotonically_increasing_id()),
         "classes",
     )
