@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lossline.llm import ball_tree, bpe, chat, decontaminate, langid, line_dedup, near_dup, recompression, shards, token_files
+from lossline.llm import ball_tree, bpe, chat, decontaminate, langid, line_dedup, near_dup, periodic_runs, recompression, shards, token_files
 from lossline.llm.common import load, pick, settle, write
 
 #: Where the vocabulary files lie; a parameter, since they belong to another package.
@@ -224,6 +224,65 @@ def op4_recompression(spark: SparkSession, folder: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+RUNS_SQL = r"""
+WITH split AS (
+  SELECT row_number() OVER () AS k, doc_id, [x FOR x IN string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+') IF x <> ''] AS w,
+         xor(4294967295, list_reduce(list_concat([4294967295], [ascii(x) FOR x IN string_split(CAST(doc_id AS VARCHAR), '')]),
+           lambda c, b: list_reduce(list_concat([xor(c, b)], range(8)),
+             lambda x, bit: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END))) AS h
+  FROM documents
+), sized AS (
+  SELECT k, doc_id, w, len(w) AS n, coalesce(h % 10 = 0, false) AND len(w) > 0 AS planted, h // 10 AS g FROM split
+), started AS (SELECT *, CASE WHEN planted THEN g % n ELSE n END AS a FROM sized
+), d AS (
+  SELECT k, doc_id, n, [w[CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + g % 8)) END + 1] FOR i IN range(n)] AS w
+  FROM started
+), words AS (
+  SELECT k, n, unnest(w) AS word, unnest(range(n)) AS i FROM d
+), pairs AS (
+  SELECT x.k, x.i, y.i - x.i AS q FROM words x JOIN words y ON x.k = y.k AND x.word = y.word AND y.i > x.i AND 2 * (y.i - x.i) <= x.n
+), islands AS (
+  SELECT k, q, i, i - row_number() OVER (PARTITION BY k, q ORDER BY i) AS island FROM pairs
+), stretches AS (
+  SELECT k, q, min(i) AS start, count(*) + q AS length FROM islands GROUP BY k, q, island
+), runs AS (
+  SELECT k, start, length, min(q) AS period FROM stretches WHERE length >= greatest(12, 2 * q) GROUP BY k, start, length
+), told AS (
+  SELECT k, count(*) AS n_runs, string_agg(concat(start, ',', length, ',', period, chr(10)), '' ORDER BY start, period) AS told,
+         max(struct_pack(length := length, start := -start, period := -period)) AS best
+  FROM runs GROUP BY k
+), gone AS (
+  SELECT DISTINCT k, unnest(range(start + period, start + length)) AS i FROM runs
+), kept AS (
+  SELECT k, string_agg(word, ' ' ORDER BY words.i) AS kept FROM words ANTI JOIN gone USING (k, i) GROUP BY k
+)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, -best.start AS start, best.length AS length, -best.period AS period,
+       1000 * best.length // -best.period AS exponent_milli, sha256(coalesce(told, '')) AS runs_sha256,
+       sha256(coalesce(kept, '')) AS collapsed_sha256
+FROM d LEFT JOIN told USING (k) LEFT JOIN kept USING (k)
+"""
+
+
+def with_periods(docs: DataFrame) -> DataFrame:
+    """The given documents with the periods that the contract of operator 11 plants: of doc_ids whose crc32 is h, with
+    h % 10 = 0 and g = h div 10, the words from a = g % n on repeat the p = 1 + (n - a) div (3 + g % 8) words from a."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.expr(r"filter(split(text, '[\\x20\\x09-\\x0D]+'), w -> w <> '')")
+    docs = docs.withColumns({"h": h, "w": F.when(h % 10 == 0, words)})
+    docs = docs.withColumns({"n": F.size("w").cast("long"), "g": F.expr("h div 10")}).withColumn("a", F.expr("if(n > 0, g % n, 0)"))
+    period = F.expr("slice(w, cast(a + 1 AS int), cast(1 + (n - a) div (3 + g % 8) AS int))")
+    times = F.expr("cast(4 + g % 8 AS int)")  # as many periods as reach beyond the end
+    long = F.concat(F.expr("slice(w, 1, cast(a AS int))"), F.flatten(F.array_repeat(period, times)))
+    text = F.when(F.col("n") > 0, F.array_join(F.slice(long, F.lit(1), F.col("n").cast("int")), " ")).otherwise(F.col("text"))
+    return docs.select("doc_id", text.alias("text"))
+
+
+@query("op11_periodic_runs", RUNS_SQL)
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    docs = pick(load(spark, folder, "documents"), "doc_id", "text")
+    return periodic_runs.digests(periodic_runs.runs(with_periods(docs), least=12))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_QUERIES)
 
