@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lossline.llm import ball_tree, bpe, chat, decontaminate, langid, line_dedup, near_dup, periodic_runs, recompression, shards, token_files
+from lossline.llm import ball_tree, bpe, chat, decontaminate, langid, line_dedup, near_dup, periodic_runs, recompression, shards, token_files, whitening
 from lossline.llm.common import load, pick, settle, write
 
 #: Where the vocabulary files lie; a parameter, since they belong to another package.
@@ -283,6 +283,25 @@ def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     return periodic_runs.digests(periodic_runs.runs(with_periods(docs), least=12))
 
 
+@query("op13_whitening")
+def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    rows, model = whitening.whiten(pick(load(spark, folder, "embeddings"), "vec_id", "embedding"), scale=64, shift=1_000_000, most=16)
+    explained = model.values / model.trace if model and model.trace > 0 else []
+    return rows.select(
+        "vec_id",
+        F.expr("try_cast(deviation AS bigint)").alias("deviation"),  # null beyond 64 bits
+        F.posexplode("whitened").alias("at", "whitened"),
+    ).select(
+        "vec_id",
+        (F.col("at") + 1).cast("int").alias("component"),
+        F.lit(model.n if model else 0).cast("long").alias("n"),
+        "deviation",
+        "whitened",
+        F.get(F.array(*map(F.lit, map(float, explained))).cast("array<double>"), F.col("at")).alias("explained"),
+        F.lit(model.identity_error if model else None).cast("double").alias("identity_error"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_QUERIES)
 
