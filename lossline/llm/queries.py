@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lossline.llm import ball_tree, bpe, chat, decontaminate, langid, line_dedup, near_dup, periodic_runs, recompression, shards, token_files, whitening
+from lossline.llm import ball_tree, bpe, chat, decontaminate, langid, line_dedup, mixing_lm, near_dup, periodic_runs, recompression, shards, token_files, whitening
 from lossline.llm.common import load, pick, settle, write
 
 #: Where the vocabulary files lie; a parameter, since they belong to another package.
@@ -283,6 +283,16 @@ def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     return periodic_runs.digests(periodic_runs.runs(with_periods(docs), least=12))
 
 
+@query("op12_mixing_lm")
+def op12_mixing_lm(spark: SparkSession, folder: str) -> DataFrame:
+    docs = pick(load(spark, folder, "documents"), "doc_id", "text")
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 5 == 1
+    model, counts = mixing_lm.fit(docs.filter(~held_out))
+    found = mixing_lm.score(docs, model, counts)
+    tokens = F.lit(model.tokens).cast("long").alias("train_tokens")
+    return found.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", tokens, "base_score", "score")
+
+
 @query("op13_whitening")
 def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
     rows, model = whitening.whiten(pick(load(spark, folder, "embeddings"), "vec_id", "embedding"), scale=64, shift=1_000_000, most=16)
