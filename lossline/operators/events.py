@@ -339,7 +339,8 @@ def session_summary(events: DataFrame, key: str = "policy_id", gap_seconds: int
         F.count("*").alias("n"),
         F.sum("estimated_amount").alias("amount"),
     )
-    covered = F.unix_micros("last") - F.unix_micros("first") + F.lit(gap_seconds * 1_000_000)
+    # Spark joins windows that touch; a microsecond less keeps events apart that are a whole gap apart.
+    covered = F.unix_micros("last") - F.unix_micros("first") + F.lit(gap_seconds * 1_000_000 - 1)
     length = F.make_interval(secs=(covered / 1_000_000).cast("decimal(18,6)"))
     return (
         minute.groupBy(key, F.session_window("first", length).alias("s"))
@@ -364,16 +365,20 @@ def dedup_events(events: DataFrame, window: str, order: list[str]) -> DataFrame:
     )
 
 
-def late_arrivals(events: DataFrame, order: list[str], processed_at: Column | None = None) -> DataFrame:
-    """Events older than one that arrived before them, with their lateness.
+def late_arrivals(events: DataFrame, order: list[str], processed_at: Column | None = None, shard: Column | None = None) -> DataFrame:
+    """Events older than one that arrived before them (in the same shard, if given), with their lateness.
 
     order sorts by arrival. The latest event time so far is a running maximum over the
-    whole table, taken range by range (functions.ordering).
+    whole table, taken range by range (functions.ordering); with shards, over them one after the other.
     """
     processed_at = F.current_timestamp() if processed_at is None else processed_at
-    seen = ord_running(events, order, "event_time", "_seen", "max", include_current=False)
-    late = F.unix_seconds("_seen") - F.unix_seconds("event_time")
-    return seen.filter(F.col("event_time") < F.col("_seen")).select(
+    shard = F.lit(0) if shard is None else shard
+    marked = events.withColumn("_shard", shard).withColumn("_at", F.struct("_shard", "event_time"))
+    seen = ord_running(marked, ["_shard", *order], "_at", "_seen", "max", include_current=False)
+    newest = F.when(F.col("_seen._shard") == F.col("_shard"), F.col("_seen.event_time"))
+    seen = seen.withColumn("_newest", newest)
+    late = F.unix_seconds("_newest") - F.unix_seconds("event_time")
+    return seen.filter(F.col("event_time") < F.col("_newest")).select(
         "claim_id",
         F.col("event_time").alias("original_timestamp"),
         F.col("arrival_ts").alias("arrival_timestamp"),

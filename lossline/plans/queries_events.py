@@ -8,11 +8,12 @@ from pyspark.sql import functions as F, types as T
 
 from lossline import session
 from lossline.config import StreamConfig
+from lossline.functions.ordering import ord_ntile
 from lossline.operators import events as ev
 from lossline.plans.catalog import add
 from lossline.plans.oracle import relation, sql
 from lossline.sources import projection
-from lossline.streaming import panes, queries as streams, sinks
+from lossline.streaming import keyed, panes, queries as streams, sinks
 
 CFG = StreamConfig()
 _NOW = "'2024-02-01 00:00:00'"
@@ -263,15 +264,16 @@ SELECT claim_id, event_id, strftime(event_time, '%Y-%m-%d %H:%M:%S') AS event_ti
 FROM good_events
 QUALIFY row_number() OVER (PARTITION BY claim_id, date_trunc('hour', event_time) ORDER BY event_time, event_id) = 1"""),
 )
-add(
-    "stream_repeat_claims",
-    lambda d: ev.repeat_claims(_valid(d), 30),
-    sql("""
+_REPEATS = sql("""
 SELECT policy_id, CAST(day AS VARCHAR) AS claim_date, claims, claims_in_period
 FROM (SELECT *, CAST(sum(claims) OVER (PARTITION BY policy_id ORDER BY day RANGE BETWEEN INTERVAL 30 DAY PRECEDING
              AND CURRENT ROW) AS BIGINT) AS claims_in_period
       FROM (SELECT policy_id, CAST(event_time AS DATE) AS day, count(*) AS claims FROM good_events GROUP BY ALL))
-WHERE claims_in_period >= 2"""),
+WHERE claims_in_period >= 2""")
+add(
+    "stream_repeat_claims",
+    lambda d: ev.repeat_claims(_valid(d), 30),
+    _REPEATS,
 )
 
 
@@ -387,6 +389,131 @@ FROM (SELECT {_WINDOW}, {_SUMS}, date_trunc('hour', event_time) + INTERVAL 1 HOU
 )
 
 
+relation("parted_events", "SELECT *, event_id % 3 AS part FROM good_events")
+relation("newest_of_parts", """
+SELECT max(event_time) FILTER (part = 0) AS m0, max(event_time) FILTER (part < 2) AS m1, max(event_time) AS m2 FROM parted_events
+""")
+relation("held_by_batch", f"""
+SELECT {_WINDOW}, {_SUMS}, date_trunc('hour', event_time) + INTERVAL 1 HOUR AS closes, batch, bool_or(part = batch) AS fresh
+FROM parted_events, range(3) r(batch) WHERE part <= batch GROUP BY date_trunc('hour', event_time), coverage_type, batch
+""")
+add(
+    # A month of lateness: the second and third batch belong to windows that have fired on time.
+    "stream_pane_late",
+    lambda d: _late_panes(d),
+    sql("""
+SELECT * EXCLUDE (closes, batch, fresh, m0, m1, m2),
+       if((batch = 1 AND closes <= m0) OR (batch = 2 AND closes <= m1), 'LATE', 'EARLY') AS pane_timing
+FROM held_by_batch, newest_of_parts WHERE fresh
+UNION ALL
+SELECT * EXCLUDE (closes, batch, fresh, m0, m1, m2), 'ON_TIME' FROM held_by_batch, newest_of_parts
+WHERE batch = CASE WHEN closes <= m0 THEN 0 WHEN closes <= m1 THEN 1 WHEN closes <= m2 THEN 2 END"""),
+)
+
+
+def _late_panes(d):
+    session.configure_state_store(d.spark)
+    month = StreamConfig(allowed_lateness_seconds=45 * 86_400)
+    return _streamed(d, panes.pane_summary(_parted_stream(d, 3), month), "panes", "update").drop("firing_id")
+
+
+# --- state per key, over several batches in order of arrival, with a restart before each -----------------
+
+#: Events arrive 90 minutes late at most, so none is behind this watermark.
+_SLACK = StreamConfig(allowed_lateness_seconds=7200)
+
+
+def _in_batches(d, build, mode, sink, batches=3):
+    """Let the events arrive in so many parts; each part is one batch of a query that starts again from its checkpoint."""
+    session.configure_state_store(d.spark)
+    folder, checkpoint = d.scratch("arriving"), d.scratch("arriving-checkpoint")
+    parts = ord_ntile(d.events, ["arrival_ts", "event_id"], batches, "part")
+    for part in range(1, batches + 1):
+        parts.filter(F.col("part") == part).drop("part").write.mode("append").parquet(folder)
+        stream = d.spark.readStream.schema(parts.drop("part").schema).parquet(folder)
+        built = build(ev.valid_events(ev.validate(stream, _now()), CFG, _now()))
+        streams.run_available(built, sink, checkpoint, mode)
+    return T.StructType([*built.schema.fields, T.StructField(sinks.BATCH, T.LongType())])
+
+
+def _kept(d, build, name, mode="append", keys=None):
+    out = d.scratch(name)
+    rows = d.spark.read.schema(_in_batches(d, build, mode, sinks.append_batches(out))).parquet(out)
+    return (sinks.latest(rows, keys) if keys else rows).drop(sinks.BATCH)
+
+
+def _late_stream(d):
+    on_time, late = d.scratch("on-time"), d.scratch("late")
+    sink = sinks.route_late(on_time, late, _now())
+    _in_batches(d, lambda e: keyed.with_lateness(e, F.col("event_id") % 8, ["arrival_ts", "event_id"]), "append", sink)
+    return d.spark.read.parquet(late).drop(sinks.BATCH)
+
+
+add(
+    "stream_late_arrivals_state",
+    _late_stream,
+    sql(f"""
+SELECT claim_id, strftime(event_time, '%Y-%m-%d %H:%M:%S') AS original_timestamp,
+       strftime(arrival_ts, '%Y-%m-%d %H:%M:%S') AS arrival_timestamp,
+       date_diff('second', event_time, newest) AS lateness_seconds, value AS raw_data, {_NOW} AS processing_timestamp
+FROM (SELECT *, max(event_time) OVER (PARTITION BY event_id % 8 ORDER BY arrival_ts, event_id
+                                      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS newest FROM good_events)
+WHERE newest > event_time"""),
+)
+add(
+    "stream_repeat_claims_state",
+    lambda d: _kept(d, lambda e: keyed.repeat_claims(e, _SLACK, 30), "repeats", "update", ["policy_id", "claim_date"]),
+    _REPEATS,
+)
+add(
+    "stream_session_state",
+    lambda d: _kept(d, lambda e: keyed.sessions(e, _SLACK), "sessions"),
+    sql("""
+SELECT policy_id, strftime(min(event_time), '%Y-%m-%d %H:%M:%S') AS session_start,
+       strftime(max(event_time), '%Y-%m-%d %H:%M:%S') AS last_event, count(*) AS claim_count,
+       CAST(round(sum(amount), 2) AS DOUBLE) AS total_amount_mxn
+FROM (SELECT *, sum(opens) OVER (PARTITION BY policy_id ORDER BY event_time, event_id) AS nr
+      FROM (SELECT *, CAST(ifnull(event_time - lag(event_time) OVER (PARTITION BY policy_id ORDER BY event_time, event_id)
+                                  >= INTERVAL 30 MINUTE, TRUE) AS INTEGER) AS opens FROM good_events))
+GROUP BY policy_id, nr
+HAVING max(event_time) + INTERVAL 30 MINUTE <= (SELECT max(event_time) FROM good_events) - INTERVAL 2 HOUR"""),
+)
+
+
+def _policy_versions(d):
+    """Two versions of most policies the events can name: the second begins on a day of January."""
+    change = F.expr("timestamp'2024-01-05 00:00:00' + make_dt_interval(c_custkey % 20)")
+    first = F.struct(F.lit(1).alias("version"), F.lit(datetime(2023, 9, 1)).cast("timestamp").alias("valid_from"), change.alias("valid_to"))
+    second = F.struct(F.lit(2).alias("version"), change.alias("valid_from"), F.lit(datetime(2024, 8, 1)).cast("timestamp").alias("valid_to"))
+    some = d.source("customer").filter("c_custkey % 7 <> 0")
+    policy = F.concat(F.lit("POL-"), F.col("c_custkey").cast("string")).alias("policy_id")
+    return some.select(policy, F.col("c_mktsegment").alias("segment"), F.inline(F.array(first, second)))
+
+
+def _with_versions(d):
+    folder, versions = d.scratch("versions"), _policy_versions(d)
+    versions.write.parquet(folder)
+
+    def build(events):
+        arriving = d.spark.readStream.schema(versions.schema).parquet(folder)
+        return keyed.enrich_with_versions(events, arriving, _SLACK).select("event_id", "policy_id", "segment", "version", "valid_from")
+
+    return _kept(d, build, "versioned")
+
+
+add(
+    "stream_enrich_policy_versions",
+    _with_versions,
+    sql("""
+SELECT event_id, e.policy_id, segment, version, strftime(valid_from, '%Y-%m-%d %H:%M:%S') AS valid_from
+FROM good_events e ASOF JOIN (
+  SELECT 'POL-' || c_custkey AS policy_id, c_mktsegment AS segment, version,
+         if(version = 1, TIMESTAMP '2023-09-01', TIMESTAMP '2024-01-05' + (c_custkey % 20) * INTERVAL 1 DAY) AS valid_from
+  FROM customer, (VALUES (1), (2)) v(version) WHERE c_custkey % 7 <> 0) v
+ON e.policy_id = v.policy_id AND e.event_time >= v.valid_from"""),
+)
+
+
 def _routed(d):
     """Dead letters, valid events and one subscriber's share, written by one streaming query."""
     raw = projection.raw_claim_events(streams.table_stream(d.spark, d.folder, "events"))

@@ -7,7 +7,7 @@ of it. Windows close at complete_to = window end and are forgotten the allowed l
 
 Events are reduced to one row per window, coverage and Arrow batch before the shuffle, so a
 coverage that holds most events does not send them all to one task, and the state of a
-window is one row of totals. Money is kept as whole millionths, so no total depends on the order of arrival.
+window is one row of totals. Money stays decimal, so no total depends on the order of arrival or leaves its range.
 """
 
 from __future__ import annotations
@@ -15,36 +15,17 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 
-import pandas as pd
 from pyspark.sql import DataFrame, Row, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from lossline.config import StreamConfig
+from lossline.streaming.keyed import AMOUNT, reduced
 
-_PARTIAL = (
-    "coverage_type STRING, window_end_ms BIGINT, n BIGINT, total BIGINT, low BIGINT, high BIGINT, event_time TIMESTAMP"
-)
 _PANE = (
-    "coverage_type STRING, window_end_ms BIGINT, n BIGINT, total BIGINT, low BIGINT, high BIGINT, "
+    f"coverage_type STRING, window_end_ms BIGINT, n BIGINT, total {AMOUNT}, low {AMOUNT}, high {AMOUNT}, "
     "pane_timing STRING, firing_id STRING"
 )
-_STATE = "n BIGINT, total BIGINT, low BIGINT, high BIGINT, fired BOOLEAN"
-
-
-def _partials(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        if len(batch):
-            yield batch.groupby(["coverage_type", "window_end_ms"], as_index=False).agg(
-                n=("amount", "size"),
-                total=("amount", "sum"),
-                low=("amount", "min"),
-                high=("amount", "max"),
-                event_time=("event_time", "max"),
-            )
-
-
-#: Whole units of an amount with six decimals.
-UNITS = 1_000_000
+_STATE = f"n BIGINT, total {AMOUNT}, low {AMOUNT}, high {AMOUNT}, fired BOOLEAN"
 
 
 class PaneProcessor(StatefulProcessor):
@@ -89,7 +70,7 @@ class PaneProcessor(StatefulProcessor):
             return
         held = self.totals.get() if self.totals.exists() else None
         if held is None:
-            n, total, low, high, fired = 0, 0, 2**63 - 1, -(2**63), complete_to >= end
+            n, total, low, high, fired = 0, 0, None, None, complete_to >= end
             for due in {end - self.ahead_ms, end + self.lateness_ms - self.ahead_ms}:
                 self.handle.registerTimer(due)
         else:
@@ -98,7 +79,8 @@ class PaneProcessor(StatefulProcessor):
                 yield self._pane(key, (n, total, low, high), "ON_TIME")
                 fired = True
         for part in rows:
-            n, total, low, high = n + part.n, total + part.total, min(low, part.low), max(high, part.high)
+            n, total = n + part.n, total + part.total
+            low, high = part.low if low is None else min(low, part.low), part.high if high is None else max(high, part.high)
         self.totals.update((n, total, low, high, fired))
         yield self._pane(key, (n, total, low, high), "LATE" if fired else "EARLY")
 
@@ -118,10 +100,8 @@ def pane_summary(events: DataFrame, cfg: StreamConfig) -> DataFrame:
     """Pane rows of a stream of valid events (event_time, coverage_type, estimated_amount)."""
     window_ms, lateness_ms = cfg.window_seconds * 1000, cfg.allowed_lateness_seconds * 1000
     end = F.unix_millis(F.window("event_time", cfg.window)["end"])
-    narrow = events.select(
-        "coverage_type", end.alias("window_end_ms"), (F.col("estimated_amount") * UNITS).cast("bigint").alias("amount"), "event_time"
-    )
-    partial = narrow.mapInPandas(_partials, _PARTIAL).withWatermark(
+    keys = {"coverage_type": F.col("coverage_type"), "window_end_ms": end}
+    partial = reduced(events, keys, "coverage_type STRING, window_end_ms BIGINT").withWatermark(
         "event_time", f"{cfg.window_seconds + cfg.allowed_lateness_seconds} seconds"
     )
     fired = partial.groupBy("coverage_type", "window_end_ms").transformWithState(
@@ -130,7 +110,7 @@ def pane_summary(events: DataFrame, cfg: StreamConfig) -> DataFrame:
         outputMode="Update",
         timeMode="EventTime",
     )
-    money = lambda name: (F.col(name).cast("decimal(20,0)") / UNITS).cast("decimal(28,6)")
+    money = lambda name: F.col(name).cast("decimal(28,6)")
     total = money("total")
     return fired.select(
         F.timestamp_millis(F.col("window_end_ms") - window_ms).alias("window_start"),

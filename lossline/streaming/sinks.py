@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from lossline.operators import events as ev
 
@@ -48,3 +48,29 @@ def route_batches(
             batch.unpersist()
 
     return write
+
+
+def route_late(on_time_path: str, late_path: str, processed_at: Column | None = None) -> Callable[[DataFrame, int], None]:
+    """foreachBatch function for events with lateness_seconds: late ones to a table of their own, the others to on_time_path.
+
+    The batch is kept while it is written, so state is read once and both tables come from the same rows.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            late = F.col("lateness_seconds").isNotNull()
+            append_batches(on_time_path)(batch.filter(~late).drop("lateness_seconds"), batch_id)
+            found = batch.filter(late).select(
+                "claim_id",
+                F.col("event_time").alias("original_timestamp"),
+                F.col("arrival_ts").alias("arrival_timestamp"),
+                "lateness_seconds",
+                F.col("value").alias("raw_data"),
+                (F.current_timestamp() if processed_at is None else processed_at).alias("processing_timestamp"),
+            )
+            append_batches(late_path)(found, batch_id)
+        finally:
+            batch.unpersist()
+
+    return write
