@@ -26,6 +26,8 @@ from lossline.llm.common import hidden, parts, pick, slices, write
 from lossline.llm.words import Words, mix, prefix_sums, range_hash, split_words
 
 REACH = 5
+#: Windows of fewer words hold no anchor; the windows of a record are counted in eight bits.
+LEAST, MOST = 2 * REACH, 256 + 2 * REACH - 1
 ROUNDS = 4
 LEFT, RIGHT, COUNT = (np.uint64(x) for x in (0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB))
 FAR = 1 << 40
@@ -117,11 +119,18 @@ def window_hashes(words: Words, window: int, start: np.ndarray) -> tuple[np.ndar
 # --- Spark -------------------------------------------------------------------------------
 
 
+def _key(doc_id: str, text: str, kind: str) -> tuple:
+    """128 bits that tell a row: its doc_id where that is a whole number (else a hash of it, or of the text), and a hash of
+    both. Rows of one doc_id and text share them; all their windows repeat anyway."""
+    number = F.col(doc_id).cast("long") if kind in ("tinyint", "smallint", "int", "bigint") else F.xxhash64(F.lit(1), F.col(doc_id))
+    d = F.when(F.col(doc_id).isNull(), F.xxhash64(F.lit(2), text)).otherwise(number)
+    return d.alias("d"), F.xxhash64(doc_id, text).alias("r")
+
+
 def _rows(docs: DataFrame) -> DataFrame:
     """d, r, text: what tells a row, in place of a doc_id that may be null or repeated, and the bytes of its text."""
     read = pick(docs, "doc_id", "text")
-    d = F.coalesce(F.col("doc_id").cast("long"), F.lit(0))
-    return read.select(d.alias("d"), F.hash("doc_id", "text").alias("r"), F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("text"))
+    return read.select(*_key("doc_id", "text", dict(read.dtypes)["doc_id"]), F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("text"))
 
 
 def _records(rows: DataFrame, window: int) -> DataFrame:
@@ -134,7 +143,7 @@ def _records(rows: DataFrame, window: int) -> DataFrame:
                 names=["anchor", "whole", "d", "r", "place"],
             )
 
-    return rows.mapInArrow(run, "anchor long, whole long, d long, r int, place long")
+    return rows.mapInArrow(run, "anchor long, whole long, d long, r long, place long")
 
 
 def _told(rows: DataFrame, window: int) -> DataFrame:
@@ -156,7 +165,7 @@ def _told(rows: DataFrame, window: int) -> DataFrame:
                 names=["h1", "h2", "d", "r", "start", "open"],
             )
 
-    return rows.mapInArrow(run, "h1 long, h2 long, d long, r int, start long, open boolean")
+    return rows.mapInArrow(run, "h1 long, h2 long, d long, r long, start long, open boolean")
 
 
 def repeated_spans(docs: DataFrame, window: int = 35) -> DataFrame:
@@ -177,8 +186,9 @@ def repeated_spans(docs: DataFrame, window: int = 35) -> DataFrame:
         .withColumn("tell", F.when(F.col("asked") & (F.col("teller") == own), F.col("place") * 2 + F.when(F.col("n") == 1, 1).otherwise(0)))
         .groupBy("d", "r")
         .agg(
-            F.collect_list(F.when(F.col("n") > 1, F.col("place"))).alias("spans"),
-            F.collect_list("tell").alias("tell"),
+            # Equal rows give equal places: a list never holds more than one text's.
+            F.collect_set(F.when(F.col("n") > 1, F.col("place"))).alias("spans"),
+            F.collect_set("tell").alias("tell"),
         )
     )
     return write(marks, "marks")
@@ -190,21 +200,23 @@ def remove_repeats(docs: DataFrame, window: int = 35) -> DataFrame:
     Words are runs of characters other than ASCII white space; the kept ones are joined by one space. A window repeats if
     its words also start anywhere else, in the same text or another row, as the input has them; every occurrence goes, the
     first one too. Null texts have no words and become empty; texts shorter than a window lose nothing. A repeated row is
-    a row of its own, so all its windows repeat. Other columns pass through, whatever their names.
+    a row of its own, so all its windows repeat. Other columns pass through, whatever their names; doc_id may be of any
+    type, null or repeated. window: LEAST to MOST words, others are an error.
     """
+    if not LEAST <= window <= MOST:
+        raise ValueError(f"a window has {LEAST} to {MOST} words")
     marks = repeated_spans(docs, window)
     inner, names, (doc_id, text) = hidden(docs, "doc_id", "text")
-    d = F.coalesce(F.col(doc_id).cast("long"), F.lit(0)).alias("d")
     n = parts(docs)
     # Both uses of the dealt texts are the same exchange, made once.
-    dealt = inner.select(d, F.hash(doc_id, text).alias("r"), *inner.columns).repartition(n, "d", "r")
+    dealt = inner.select(*_key(doc_id, text, dict(inner.dtypes)[doc_id]), *inner.columns).repartition(n, "d", "r")
     telling = dealt.join(marks.filter(F.size("tell") > 0).select("d", "r", "tell").repartition(n, "d", "r"), ["d", "r"])
     telling = telling.select("d", "r", F.coalesce(F.col(text).cast("binary"), F.lit(b"")).alias("text"), "tell")
     told = _told(telling, window)
     twice = told.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h1", "h2")
     late = told.filter("open").join(twice, ["h1", "h2"], "left_semi").select("d", "r", (F.col("start") * 256).alias("span"))
     early = marks.select("d", "r", F.explode("spans").alias("span"))
-    spans = early.unionByName(late).repartition(n, "d", "r").groupBy("d", "r").agg(F.collect_list("span").alias("spans"))
+    spans = early.unionByName(late).repartition(n, "d", "r").groupBy("d", "r").agg(F.collect_set("span").alias("spans"))
     joined = dealt.join(spans, ["d", "r"], "left").drop("d", "r")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

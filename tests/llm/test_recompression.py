@@ -79,3 +79,29 @@ def test_words_of_texts():
     assert got == [w for t in texts for w in t.split()]
     assert np.diff(words.first).tolist() == [len(t.split()) for t in texts]
     assert words.hash[1] == words.hash[3] and len(set(words.hash.tolist())) == len(words.hash) - 1
+
+
+def test_rows_without_doc_id_are_told_apart(spark, monkeypatch):
+    """Many rows without doc_id, some repeating a passage, and ids that are text."""
+    draw = random.Random(8)
+    passage = [f"p{i}" for i in range(50)]
+    rows = [(None, " ".join([f"r{n}w{i}" for i in range(40)] + (passage if n % 50 == 0 else []))) for n in range(300)]
+    rows += [(None, rows[0][1]), (None, None)]
+    check(spark, rows, 35)
+    named = spark.createDataFrame([(f"id{draw.randrange(9)}", t) for _, t in rows], "doc_id string, text string")
+    got = Counter((r.text, r.n_removed) for r in recompression.remove_repeats(named, 35).collect())
+    assert got == Counter((t, n) for _, t, _, n in expected(rows, 35))
+
+
+@pytest.mark.parametrize("window", [recompression.LEAST, 11, 200, recompression.MOST])
+def test_least_and_longest_windows(spark, window):
+    draw = random.Random(window)
+    passage = [f"w{draw.randrange(50)}" for _ in range(window + 30)]
+    rows = [(i, " ".join([f"w{draw.randrange(50)}" for _ in range(draw.randint(0, 40))] + passage[draw.randint(0, 30) :])) for i in range(6)]
+    check(spark, rows, window)
+
+
+@pytest.mark.parametrize("window", [recompression.LEAST - 1, recompression.MOST + 1])
+def test_other_windows_are_refused(spark, window):
+    with pytest.raises(ValueError, match="words"):
+        recompression.remove_repeats(spark.createDataFrame([(1, "a")], "doc_id long, text string"), window)
