@@ -260,10 +260,13 @@ class LineIndex:
         order and spelling; a text that loses all lines, or is null, becomes empty. Rows that repeat a doc_id, and rows
         without one, are each treated by their own text. Other columns pass through, whatever their names.
         """
-        confirmed = self.suspects(line_digests(docs, self.least)).join(self.hot, ["h1", "h2"], "left_semi")
-        found = confirmed.groupBy(F.col("doc_id").alias("_of")).agg(F.collect_set(F.struct("h1", "h2")).alias("_hot"))
         inner, names, (doc_id, text) = hidden(docs, "doc_id", "text")
-        joined = inner.join(found, F.col(doc_id).eqNullSafe(F.col("_of")), "left").drop("_of")
+        # Rows without doc_id are told apart by their text, so that none meets the lines of all of them.
+        own = F.struct(F.col(doc_id).alias("id"), F.when(F.col(doc_id).isNull(), F.xxhash64(text)).alias("k"))
+        told = line_digests(inner.select(own.alias("doc_id"), F.col(text).alias("text")), self.least)
+        confirmed = self.suspects(told).join(self.hot, ["h1", "h2"], "left_semi")
+        found = confirmed.groupBy(F.col("doc_id").alias("_of")).agg(F.collect_set(F.struct("h1", "h2")).alias("_hot"))
+        joined = inner.join(found, own.eqNullSafe(F.col("_of")), "left").drop("_of")
         least, digest = self.least, xxhash.xxh3_128_intdigest
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -290,5 +293,6 @@ class LineIndex:
 
 
 def dedup_lines(docs: DataFrame, threshold: int = 10, least: int = 1) -> DataFrame:
-    """Drop from every document the lines that at least `threshold` rows of the table have."""
+    """Drop from every document the lines that at least `threshold` rows of the table have. A row is a document: rows of
+    one doc_id, also equal ones, count one by one."""
     return LineIndex.build(docs, threshold, least).drop_lines(docs)

@@ -76,3 +76,12 @@ def test_filter():
     assert made.contains(*a).all() and made.contains(*b).all()
     made.delete(*b)
     assert made.contains(*a).all() and made.contains(*b).mean() < 0.01
+
+
+def test_rows_count_as_documents(spark):
+    """Ten rows of one doc_id, or without one, are ten documents."""
+    for doc_id in (5, None):
+        rows = [(doc_id, f"shared\nline {i}") for i in range(10)] + [(6, "shared")]
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        got = sorted((str(r.doc_id), r.text, r.n_dropped) for r in line_dedup.dedup_lines(docs, 10, 1).collect())
+        assert got == sorted([(str(doc_id), f"line {i}", 1) for i in range(10)] + [("6", "", 1)])
