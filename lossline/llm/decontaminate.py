@@ -36,10 +36,9 @@ def spelled(docs: DataFrame, *more: str) -> DataFrame:
     return docs.select("doc_id", *more, F.explode(F.array(words_of("text"))).alias("spelled"))
 
 
-def key_of(doc_id: str, text: str) -> F.Column:
-    """What tells a document: its doc_id, or 128 bits of its text if it has none."""
-    unnamed = [F.when(F.col(doc_id).isNull(), F.xxhash64(F.lit(salt), text)).alias(f"k{salt}") for salt in (1, 2)]
-    return F.struct(F.col(doc_id).alias("id"), *unnamed)
+def row_key(doc_id: str, text: str) -> F.Column:
+    """What tells a row: doc_id and 128 bits of the text. Equal rows share it, and all that is said of them."""
+    return F.struct(F.col(doc_id).alias("id"), *[F.xxhash64(F.lit(salt), text).alias(f"k{salt}") for salt in (1, 2)])
 
 
 def occurrences(docs: DataFrame, windows: DataFrame) -> DataFrame:
@@ -87,10 +86,11 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
     """doc_id, n_words, n_hit, n_items, items (their ids as sorted strings), contaminated, for every row of docs.
 
     A word is hit if it lies in any occurrence of a window; overlapping occurrences count a word once. Null and empty
-    texts have no words. Items without words, or with null text, have no window; a null item_id names no item. Rows that
-    repeat a doc_id count as one document with the words of each, so they share its hits; a null doc_id has none.
+    texts have no words. Items without words, or with null text, have no window; a null item_id names no item. Every row is
+    judged by its own text, also where others have its doc_id or it has none.
     """
-    read = pick(docs, "doc_id", "text")
+    rows = pick(docs, "doc_id", "text")
+    read = rows.select(row_key("doc_id", "text").alias("doc_id"), "text")
     found = write(occurrences(read, windows_of(items, window)), "occurrences")
     order = Window.partitionBy("doc_id").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
     spans = found.groupBy("doc_id", "start").agg(F.max(F.col("start") + F.col("span")).alias("end"))
@@ -98,10 +98,12 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
     hits = spans.withColumn("covered", covered).groupBy("doc_id").agg(F.sum("covered").alias("n_hit"))
     named = found.select("doc_id", F.explode("items").alias("item")).groupBy("doc_id").agg(F.collect_set(F.col("item").cast("string")).alias("items"))
     about = hits.join(named, "doc_id", "left")
-    counted = read.select("doc_id", F.size(words_of("text")).cast("long").alias("n_words"))
+    counted = rows.select(
+        F.col("doc_id").alias("own_id"), row_key("doc_id", "text").alias("doc_id"), F.size(words_of("text")).cast("long").alias("n_words")
+    )
     none = F.array().cast("array<string>")
     return counted.join(about, "doc_id", "left").select(
-        "doc_id",
+        F.col("own_id").alias("doc_id"),
         "n_words",
         F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
         F.size(F.coalesce("items", none)).cast("long").alias("n_items"),
@@ -111,9 +113,9 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
 
 
 def clean(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
-    """The rows of docs, all columns, of documents without a hit. A row without doc_id is judged by its own text."""
+    """The rows of docs, all columns, without a hit. Every row is judged by its own text."""
     inner, names, (doc_id, text) = hidden(docs, "doc_id", "text")
-    read = inner.select(key_of(doc_id, text).alias("doc_id"), F.col(text).alias("text"))
+    read = inner.select(row_key(doc_id, text).alias("doc_id"), F.col(text).alias("text"))
     hit = write(occurrences(read, windows_of(items, window)).select(F.col("doc_id").alias("_hit")).distinct(), "hit")
-    keyed = inner.withColumn("_key", key_of(doc_id, text))
+    keyed = inner.withColumn("_key", row_key(doc_id, text))
     return keyed.join(hit, F.col("_key") == F.col("_hit"), "left_anti").select(*inner.columns).toDF(*names)

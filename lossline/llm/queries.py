@@ -49,20 +49,21 @@ def op6_langid(spark: SparkSession, folder: str) -> DataFrame:
 
 
 LINES_SQL = """
-WITH lines AS (
-  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+WITH docs AS (SELECT row_number() OVER () AS k, doc_id, text FROM documents
+), lines AS (
+  SELECT k, doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
          generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS place
-  FROM documents
+  FROM docs
 ), keyed AS (
   SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
                       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM lines
 ), hot AS (
-  SELECT key FROM keyed WHERE key <> '' GROUP BY key HAVING count(DISTINCT doc_id) >= 10
+  SELECT key FROM keyed WHERE key <> '' GROUP BY key HAVING count(DISTINCT k) >= 10
 )
 SELECT doc_id, count(*) AS n_lines, count(hot.key) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (hot.key IS NULL), '')) AS kept_sha256
 FROM keyed LEFT JOIN hot USING (key)
-GROUP BY doc_id
+GROUP BY k, doc_id
 """
 
 
@@ -100,7 +101,7 @@ def op10_near_dup(spark: SparkSession, folder: str) -> DataFrame:
 
 WINDOWS_SQL = """
 WITH doc_words AS (
-  SELECT doc_id, [x FOR x IN string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+  SELECT row_number() OVER () AS k, doc_id, [x FOR x IN string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
          'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') IF x <> ''] AS w FROM documents
 ), item_words AS (
   SELECT item_id, [x FOR x IN string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
@@ -110,19 +111,19 @@ WITH doc_words AS (
   FROM item_words, unnest(range(1, greatest(len(w) - 9, 1) + 1)) t(s) WHERE len(w) > 0
 ), spans AS (SELECT DISTINCT span FROM item_windows
 ), doc_windows AS (
-  SELECT doc_id, s, span, array_to_string(w[s : s + span - 1], ' ') AS words
+  SELECT k, s, span, array_to_string(w[s : s + span - 1], ' ') AS words
   FROM doc_words, spans, unnest(range(1, len(w) - span + 2)) t(s)
 ), found AS (
-  SELECT doc_id, s, span, item_id FROM doc_windows JOIN item_windows USING (span, words)
+  SELECT k, s, span, item_id FROM doc_windows JOIN item_windows USING (span, words)
 ), hit AS (
-  SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + span)) AS p FROM found) GROUP BY doc_id
+  SELECT k, count(DISTINCT p) AS n_hit FROM (SELECT k, unnest(range(s, s + span)) AS p FROM found) GROUP BY k
 ), items AS (
-  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
-  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id
+  SELECT k, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT k, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY k
 )
 SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
        sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-FROM doc_words LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
+FROM doc_words LEFT JOIN hit USING (k) LEFT JOIN items USING (k)
 """
 
 

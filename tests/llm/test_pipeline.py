@@ -56,7 +56,8 @@ def test_stages(spark, folder):
     assert len(kept["language"]) == len(raw) - 3
     assert sorted(kept["lines"], key=str) == sorted(((i, t) for i, t, _, _ in line_rows(kept["language"], 10)), key=str)
     alone = {i for i, _, _, own in groups(kept["lines"]) if own} | {None}
-    assert sorted(kept["near_copies"], key=str) == sorted((r for r in kept["lines"] if r[0] in alone), key=str)
+    assert sorted(kept["near_copies"], key=str) == sorted({r for r in kept["lines"] if r[0] in alone}, key=str)
+    assert len(kept["lines"]) > len(set(kept["lines"]))  # one row is there twice
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{folder}/benchmark.parquet").collect()]
     hit = {w[0] for w in windows(kept["near_copies"], items) if w[-1]} - {None}
     assert hit and sorted(kept["benchmark"], key=str) == sorted((r for r in kept["near_copies"] if r[0] not in hit), key=str)
@@ -108,7 +109,7 @@ def test_near_copies_go_by_row(spark, folder):
     rows = [(1, text(0)), (2, near(0, 40)), (2, text(1)), (3, text(2)), (3, near(2, 30)), (4, near(2, 90)), (5, text(3)), (5, text(3)), (6, near(3, 9))]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     kept = sorted((r.doc_id, r.text) for r in corpus_pipeline.near_copies(spark, docs, folder).collect())
-    assert [r for r in kept if r[0] != 3] == [(1, text(0)), (2, text(1)), (5, text(3)), (5, text(3))]
+    assert [r for r in kept if r[0] != 3] == [(1, text(0)), (2, text(1)), (5, text(3))]
     assert [r for r in kept if r[0] == 3] in ([(3, text(2))], [(3, near(2, 30))])
 
 
@@ -122,3 +123,10 @@ def test_copies_without_doc_id(spark, folder):
     kept = [(r.doc_id, r.text) for r in corpus_pipeline.near_copies(spark, docs, folder).collect()]
     group = lambda t: next((n for n in range(3) if t and t.startswith(f"t{n}")), None)
     assert sorted(((i, group(t)) for i, t in kept), key=str) == sorted([(None, 0), (None, 1), (4, 2), (None, None), (None, None), (None, None)], key=str)
+
+
+def test_no_labels(spark, tmp_path):
+    """Without any labelled row the stage keeps every document."""
+    docs = spark.createDataFrame([(1, "a text", None), (2, None, None)], "doc_id long, text string, lang string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    assert corpus_pipeline.language(spark, docs, str(tmp_path)).count() == 2
