@@ -26,9 +26,13 @@ def _with_text(docs: DataFrame, changed: DataFrame) -> DataFrame:
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language the network can tell; null texts and texts without letters go. The network is fitted on
-    the labelled rows of the raw documents that operator 6 may learn from."""
+    the labelled rows of the raw documents that operator 6 may learn from; where there are none, no language can be told
+    apart and every document stays."""
     settle(spark)
-    found = langid.identify(docs, langid.fit(load(spark, sf_dir, "documents")))
+    model = langid.fit(load(spark, sf_dir, "documents"))
+    if model is None:
+        return docs
+    found = langid.identify(docs, model)
     inner, _, (label, score) = hidden(found, "lang_pred", "lang_score")
     told = inner.filter((F.col(label) != langid.UNDETERMINED) & (F.col(score) >= LEAST_LANGUAGE_SCORE))
     return told.select(*told.columns[: len(docs.columns)]).toDF(*docs.columns)
@@ -42,8 +46,8 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-copies: that of the smallest doc_id, of several texts under it that of the smallest
-    hash. Rows are judged one by one, so another row of the same doc_id takes none with it; a row repeated with doc_id and
-    text is one document. Of a group without doc_id one row stays. Documents without words are no copies."""
+    hash. Rows are judged one by one, so another row of the same doc_id takes none with it; of rows equal in doc_id and text
+    one stays, and so does one of a group without doc_id. Documents without words are no copies."""
     settle(spark)
     found = near_dup.groups(docs, percent=LEAST_SIMILARITY_PERCENT).filter(F.col("component").isNotNull())
     found = found.select("component", F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "k1", "k2").alias("row"))
@@ -54,11 +58,11 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     inner, names, (doc_id, text) = hidden(docs, "doc_id", "text")
     keyed = inner.withColumns(near_dup.row_keys(doc_id, text))
     kept = keyed.join(dropped, ["k1", "k2"], "left_anti")
-    # Equal rows without doc_id are copies of each other: those that stay are taken once.
-    unnamed = found.filter("row.unnamed").groupBy("row.k1", "row.k2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    equal = write(unnamed.select("k1", "k2"), "equal")
+    # Equal rows are copies of each other: those that stay are taken once.
+    several = found.groupBy("row.k1", "row.k2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    equal = write(several.select("k1", "k2"), "equal")
     if equal.limit(1).count():
-        once = kept.filter(F.col(doc_id).isNull()).join(equal, ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"])
+        once = kept.join(equal, ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"])
         kept = kept.join(equal, ["k1", "k2"], "left_anti").unionByName(once)
     return kept.select(*inner.columns).toDF(*names)
 
