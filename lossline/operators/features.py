@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lossline.config import Config
 from lossline.functions.columns import flag, mean_of, ratio
-from lossline.functions.ordering import ord_ntile, tile_of_rank
-from lossline.functions.quantiles import exact_medians
+from lossline.functions.ordering import ord_ntile
+from lossline.functions.quantiles import exact_medians, tiles_by_cuts
 
 NUMERIC_FEATURES = [
     "log_premium",
@@ -71,17 +71,16 @@ def feat_policy_experience(policies: DataFrame, exposure: DataFrame, claims: Dat
 def _risk_group(experience: DataFrame, key: str, name: str) -> DataFrame:
     """Low, medium or high by the loss ratio of the groups of key, a third of the groups each.
 
-    Groups (states, occupations) are few; equal ratios are told apart by the key itself.
+    Equal ratios are told apart by the key itself. Occupations are free text, so there may be as many as policyholders: the
+    groups are dealt out by range, not ranked in one task.
     """
     groups = experience.groupBy(key).agg(
         F.sum("total_incurred").alias("incurred"), F.sum("earned_premium").alias("earned")
     )
     loss_ratio = F.coalesce(ratio(F.col("incurred"), F.col("earned")), F.lit(0.0))
-    everything = Window.partitionBy(F.lit(0))
-    rank = F.row_number().over(everything.orderBy("loss_ratio", key))
-    tile = tile_of_rank(rank, F.count("*").over(everything), 3)
-    group = F.when(tile == 1, "low").when(tile == 2, "medium").otherwise("high")
-    return groups.withColumn("loss_ratio", loss_ratio).select(key, group.alias(name))
+    tiled = ord_ntile(groups.select(key, loss_ratio.alias("loss_ratio")), ["loss_ratio", key], 3, "_tile")
+    group = F.when(F.col("_tile") == 1, "low").when(F.col("_tile") == 2, "medium").otherwise("high")
+    return tiled.select(key, group.alias(name))
 
 
 def age_band(age: Column) -> Column:
@@ -103,7 +102,7 @@ def feat_risk_segments(experience: DataFrame, policyholders: DataFrame) -> DataF
     narrow = experience.select("policy_id", "policyholder_id", "annual_premium").join(
         holder.select("policyholder_id"), "policyholder_id", "left_semi"
     )
-    quarter = ord_ntile(narrow.drop("policyholder_id"), ["annual_premium", "policy_id"], 4, "quarter").select(
+    quarter = tiles_by_cuts(narrow.drop("policyholder_id"), "annual_premium", "policy_id", 4, "quarter").select(
         "policy_id", F.concat(F.lit("Q"), F.col("quarter").cast("string")).alias("premium_band")
     )
     states = _risk_group(known, "state_code", "state_risk_group")

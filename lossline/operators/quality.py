@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lossline.functions.columns import mean_of, ratio
 from lossline.functions.quantiles import exact_medians
+from lossline.session import materialise
 
 # Declared keys and mandatory columns of the tables.
 UNIQUE_KEYS = {
@@ -373,21 +374,69 @@ def obs_duplicates(tables: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
     )
 
 
-def table_diff(before: DataFrame, after: DataFrame, key: str) -> DataFrame:
-    """Rows added, removed or changed between two versions, with the columns that differ."""
+#: Stretches of keys that table_diff compares by digest; one row of digests each.
+BUCKETS = 4096
+
+
+def _bucketed(df: DataFrame, key: str, buckets: int) -> DataFrame:
+    return df.withColumn("_bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
+
+
+def table_digests(df: DataFrame, key: str, buckets: int = BUCKETS) -> DataFrame:
+    """Per bucket of keys the rows and, for each column, a digest that does not depend on their order.
+
+    A digest is the sum of two 64-bit hashes of key and value over the rows, so a repeated row counts as often as it is
+    there. Sums are formed before the shuffle, which moves `buckets` rows a task.
+    """
+    values = [c for c in df.columns if c != key]
+    sums = []
+    for i, c in enumerate(values or [key]):
+        for seed in (1, 2):
+            sums.append(F.sum(F.xxhash64(F.lit(seed), key, c).cast("decimal(20,0)")).alias(f"d{i}_{seed}"))
+    return _bucketed(df, key, buckets).groupBy("_bucket").agg(F.count(F.lit(1)).alias("rows"), *sums)
+
+
+def changed_buckets(before: DataFrame, after: DataFrame, key: str, buckets: int = BUCKETS) -> DataFrame:
+    """The buckets whose rows or digests differ: at most `buckets` rows."""
+    old, new = table_digests(before, key, buckets), table_digests(after, key, buckets)
+    names = [c for c in old.columns if c != "_bucket"]
+    joined = old.select("_bucket", F.struct(*names).alias("old")).join(new.select("_bucket", F.struct(*names).alias("new")), "_bucket", "full")
+    return joined.filter(~F.col("old").eqNullSafe(F.col("new"))).select("_bucket")
+
+
+def table_diff(before: DataFrame, after: DataFrame, key: str, buckets: int = BUCKETS) -> DataFrame:
+    """Rows added, removed or changed between two versions: key, change, columns (that differ).
+
+    Versions are compared by digests per bucket of keys first; only rows of buckets that differ are shuffled. Rows are
+    multisets: copies in both versions cancel out. A key with one row left on both sides has changed; otherwise each row
+    left is added or removed, as often as it is. A null key is a key like others.
+    """
     values = [c for c in before.columns if c != key]
-    old = before.select(key, F.struct(*values).alias("old"))
-    new = after.select(key, F.struct(*values).alias("new"))
-    differing = F.array_compact(
-        F.array(*[F.when(~F.col(f"old.{c}").eqNullSafe(F.col(f"new.{c}")), F.lit(c)) for c in values])
-    )
-    change = F.when(F.col("old").isNull(), "added").when(F.col("new").isNull(), "removed").otherwise("changed")
-    return (
-        old.join(new, key, "full")
-        .withColumns({"change": change, "columns": F.when(change == "changed", F.concat_ws(",", differing)).otherwise("")})
-        .filter((F.col("change") != "changed") | (F.col("columns") != ""))
-        .select(key, "change", "columns")
+    after = after.select(*before.columns)
+    differing = F.broadcast(changed_buckets(before, after, key, buckets))  # at most `buckets` small rows
+
+    def left(df: DataFrame, sign: int) -> DataFrame:
+        some = _bucketed(df, key, buckets).join(differing, "_bucket", "left_semi")
+        return some.select(F.col(key).alias("k"), F.struct(*values).alias("v") if values else F.lit(0).alias("v"), F.lit(sign).alias("s"))
+
+    net = left(before, -1).unionByName(left(after, 1)).groupBy("k", "v").agg(F.sum("s").alias("net")).filter("net <> 0")
+    net = materialise(net, "net-rows")
+    sides = net.groupBy("k").agg(
+        F.sum(F.greatest("net", F.lit(0))).alias("more"),
+        F.sum(F.greatest(-F.col("net"), F.lit(0))).alias("less"),
+        F.max(F.when(F.col("net") < 0, F.col("v"))).alias("old"),
+        F.max(F.when(F.col("net") > 0, F.col("v"))).alias("new"),
     )
+    one = (F.col("more") == 1) & (F.col("less") == 1)
+    names = [F.when(~F.col(f"old.{c}").eqNullSafe(F.col(f"new.{c}")), F.lit(c)) for c in values]
+    columns = F.concat_ws(",", F.array_compact(F.array(*names))) if values else F.lit("")
+    changed = sides.filter(one).select(F.col("k").alias(key), F.lit("changed").alias("change"), columns.alias("columns"))
+    others = sides.filter(~one).select(F.col("k").alias("_k"))
+    # One side of the join is a key each, the other the rows left, which Spark splits where a key holds many.
+    rest = net.join(others, F.col("k").eqNullSafe(F.col("_k")), "left_semi")
+    times = F.explode(F.sequence(F.lit(1).cast("bigint"), F.abs("net")))
+    rest = rest.select(F.col("k").alias(key), F.when(F.col("net") > 0, "added").otherwise("removed").alias("change"), F.lit("").alias("columns"), times.alias("_n"))
+    return changed.unionByName(rest.drop("_n"))
 
 
 def schema_of(df: DataFrame) -> DataFrame:

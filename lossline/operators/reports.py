@@ -55,30 +55,46 @@ def rpt_loss_triangle(payments: DataFrame, max_dev: int = 5) -> DataFrame:
 
 
 def triangle_as_of(payments: DataFrame, valuations: DataFrame, max_dev: int = 5) -> DataFrame:
-    """The triangle as it was known at each valuation date (one column as_of, a short list).
+    """The triangle as it was known at each valuation date (one column as_of).
 
-    Payments are summed per payment date first, so the dates multiply a small table.
+    Every payment counts at its first valuation date; what is known later is a running sum over valuations. A date finds
+    its valuation in the calendar of payment and valuation days, so payments meet one row each, however many valuations
+    there are. Beyond that only cells of the result are made. Payments after the last valuation take no part.
     """
-    daily = payments.groupBy("accident_year", "development_year", "payment_date").agg(
-        F.sum("payment_amount").alias("paid")
-    )
-    known = daily.filter(F.col("development_year") >= 0).join(
-        F.broadcast(valuations), daily.payment_date <= valuations.as_of
-    )
-    by_cell = known.groupBy("as_of", "accident_year", "development_year").agg(F.sum("paid").alias("paid"))
-    so_far = (
-        Window.partitionBy("as_of", "accident_year")
-        .orderBy("development_year")
-        .rowsBetween(Window.unboundedPreceding, 0)
-    )
+    daily = (
+        payments.filter(F.col("development_year") >= 0)
+        .groupBy("accident_year", "development_year", "payment_date")
+        .agg(F.sum("payment_amount").alias("paid"))
+    )
+    dates = valuations.select("as_of").filter(F.col("as_of").isNotNull()).distinct()
+    # One row per day of the calendar: bounded, whatever the payments.
+    numbered = dates.withColumn("_nr", F.row_number().over(Window.orderBy("as_of")))
+    days = daily.select(F.col("payment_date").alias("_day")).distinct().withColumn("_nr", F.lit(None).cast("int"))
+    calendar = days.unionByName(numbered.select(F.col("as_of").alias("_day"), "_nr"))
+    ahead = Window.orderBy("_day").rangeBetween(Window.currentRow, Window.unboundedFollowing)
+    first = calendar.withColumn("_first", F.min("_nr").over(ahead)).filter(F.col("_first").isNotNull()).select("_day", "_first").distinct()
+    added = (
+        daily.join(first, daily.payment_date == first["_day"])
+        .groupBy("accident_year", "development_year", F.col("_first").alias("_nr"))
+        .agg(F.sum("paid").alias("paid"))
+    )
+    cell = ["accident_year", "development_year"]
+    last = numbered.agg(F.max("_nr").alias("_last"))
+    begun = added.groupBy(*cell).agg(F.min("_nr").alias("_begun")).crossJoin(F.broadcast(last))  # one row
+    cells = begun.select(*cell, F.explode(F.sequence("_begun", "_last")).alias("_nr"))
+    by_time = Window.partitionBy(*cell).orderBy("_nr").rowsBetween(Window.unboundedPreceding, 0)
+    by_dev = Window.partitionBy("_nr", "accident_year").orderBy("development_year").rowsBetween(Window.unboundedPreceding, 0)
     devs = list(range(max_dev + 1))
-    cells = (
-        by_cell.withColumn("cumulative", F.sum("paid").over(so_far))
-        .groupBy("as_of", "accident_year")
-        .pivot("development_year", devs)
-        .agg(F.max("cumulative"))
+    dev = F.col("development_year")
+    return (
+        cells.join(added, [*cell, "_nr"], "left")
+        .withColumn("known", F.sum("paid").over(by_time))
+        .withColumn("cumulative", F.sum("known").over(by_dev))
+        .groupBy("_nr", "accident_year")
+        .agg(*[F.max(F.when(dev == d, F.col("cumulative"))).alias(f"dev_year_{d}") for d in devs])
+        .join(numbered, "_nr")
+        .select("as_of", "accident_year", *[f"dev_year_{d}" for d in devs])
     )
-    return cells.select("as_of", "accident_year", *[F.col(str(d)).alias(f"dev_year_{d}") for d in devs])
 
 
 def _development_pairs(long: DataFrame) -> DataFrame:

@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from lossline.operators import profile, quality as q, reports
+from lossline.operators import profile, quality as q, reports, sketches as sk
 from lossline.plans.catalog import add
 from lossline.plans.oracle import RELATIONS, VALUATION, relation, sql
 from lossline.plans.runner import run_layers
 from lossline.sources import projection
+from lossline.sources.schemas import RAW_SCHEMAS
 
 AS_OF = datetime(2001, 1, 15, 6)
 
@@ -217,10 +219,42 @@ FROM (SELECT *, avg(x) OVER w AS past, stddev_samp(x) OVER w AS sd, count(x) OVE
         for c in _SPREAD) + """)
       WINDOW w AS (PARTITION BY column_name ORDER BY year ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))"""),
 )
-_RATED = ["policyholder_id", "first_name", "city", "occupation", "gender", "state_code"]
+_SKETCHED = ["initial_reserve", "total_paid", "payment_count"]
+
+
+def _sketched(d):
+    """Daily sketches, stored as a table and merged to one period."""
+    path = d.scratch("sketches")
+    sk.daily_sketches(d["fct_claims"], _SKETCHED, "accident_date").write.parquet(path)
+    return sk.merged(d.spark.read.parquet(path))
+
+
+def _sketch_figures(d):
+    """Exact figures of all days, and whether the sketched quartiles and distinct values are within the stated errors."""
+    whole = sk.figures(_sketched(d))
+    named = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("v")) for c in _SKETCHED])
+    values = d["fct_claims"].select(F.inline(named)).filter("v IS NOT NULL").join(F.broadcast(whole), "column_name")  # a row per column
+    marks = {"q25": 0.25, "median": 0.5, "q75": 0.75}
+    shares = [(F.count_if(F.col("v") < F.col(c)) / F.count(F.lit(1))).alias(f"{c}_below") for c in marks]
+    shares += [(F.count_if(F.col("v") <= F.col(c)) / F.count(F.lit(1))).alias(f"{c}_upto") for c in marks]
+    ranks = values.groupBy("column_name").agg(*shares, F.countDistinct("v").alias("exact"))
+    close = reduce(lambda a, b: a & b, [(F.col(f"{c}_below") <= m + sk.RANK_ERROR) & (F.col(f"{c}_upto") >= m - sk.RANK_ERROR) for c, m in marks.items()])
+    near = F.abs(F.col("distinct_values") - F.col("exact")) <= F.greatest(F.lit(1.0), sk.DISTINCT_ERROR * F.col("exact"))
+    return whole.join(ranks, "column_name").select("column_name", "filled", "null_rate", "mean", F.col("exact").alias("distinct_values"), close.alias("ranks_hold"), near.alias("distinct_holds"))
+
+
+add(
+    "obs_distribution_sketches",
+    _sketch_figures,
+    sql("\nUNION ALL\n".join(
+        f"SELECT '{c}' AS column_name, count({c}) AS filled, round((count(*) - count({c})) / count(*), 6) AS null_rate, "
+        f"round(CAST(sum(CAST({c} AS DECIMAL(28,6))) AS DOUBLE) / count({c}), 4) AS mean, count(DISTINCT {c}) AS distinct_values, "
+        "TRUE AS ranks_hold, TRUE AS distinct_holds FROM fct_claims" for c in _SKETCHED)),
+)
+_RATED = [field.split()[0] for field in RAW_SCHEMAS["policyholders"].split(", ")]
 add(
     "obs_null_rate",
-    lambda d: q.obs_null_rate(d["raw_policyholders"].select(*_RATED)),
+    lambda d: q.obs_null_rate(d["raw_policyholders"]),
     sql("\nUNION ALL\n".join(
         f"SELECT '{c}' AS column_name, count(*) - count({c}) AS nulls, round((count(*) - count({c})) / count(*), 6) AS null_rate "
         "FROM raw_policyholders" for c in _RATED)),
@@ -255,6 +289,38 @@ FROM (SELECT policy_id, CASE WHEN gone AND come THEN NULL WHEN come THEN 'remove
       FROM (SELECT policy_id, status, policy_id % 101 = 0 AS gone, policy_id % 103 = 0 AS come FROM stg_policies))
 WHERE change IN ('added', 'removed') OR columns <> ''"""),
 )
+
+
+def _repeated_versions(d):
+    """Two versions without a key of their own: payments by policy, some rows twice, some without a key."""
+    rows = d["stg_claim_payments"].select(
+        F.when(F.col("payment_id") % 50 != 0, F.col("claim_id")).alias("claim_id"), "payment_type", "payment_amount", "payment_id"
+    )
+    old = rows.filter("payment_id % 13 <> 0").drop("payment_id")
+    new = rows.filter("payment_id % 17 <> 0").drop("payment_id")
+    return old.unionByName(old.filter("payment_amount < 500")), new.unionByName(new.filter("payment_amount < 500"))
+
+
+add(
+    "table_diff_repeated_keys",
+    lambda d: q.table_diff(*_repeated_versions(d), "claim_id").groupBy("claim_id", "change", "columns").agg(F.count(F.lit(1)).alias("n")),
+    sql("""
+SELECT claim_id, change, columns, count(*) AS n FROM (
+  SELECT claim_id, CASE WHEN more = 1 AND less = 1 THEN 'changed' WHEN net > 0 THEN 'added' ELSE 'removed' END AS change,
+         CASE WHEN more = 1 AND less = 1 THEN concat_ws(',', if(types > 1, 'payment_type', NULL), if(amounts > 1, 'payment_amount', NULL)) ELSE '' END AS columns,
+         if(more = 1 AND less = 1 AND net < 0, [], range(abs(net))) AS copies
+  FROM (SELECT *, sum(greatest(net, 0)) OVER w AS more, sum(greatest(-net, 0)) OVER w AS less,
+               list_unique(list(payment_type) OVER w) + CAST(len(list_filter(list(payment_type) OVER w, lambda x: x IS NULL)) > 0 AS INTEGER) AS types,
+               list_unique(list(payment_amount) OVER w) + CAST(len(list_filter(list(payment_amount) OVER w, lambda x: x IS NULL)) > 0 AS INTEGER) AS amounts
+        FROM (SELECT claim_id, payment_type, payment_amount, CAST(sum(s) AS BIGINT) AS net FROM (
+                SELECT if(payment_id % 50 <> 0, claim_id, NULL) AS claim_id, payment_type, payment_amount, s
+                FROM (SELECT *, -1 AS s FROM stg_claim_payments WHERE payment_id % 13 <> 0
+                      UNION ALL SELECT *, 1 FROM stg_claim_payments WHERE payment_id % 17 <> 0),
+                     range(2) twice(t) WHERE t = 0 OR payment_amount < 500)
+              GROUP BY ALL HAVING sum(s) <> 0)
+        WINDOW w AS (PARTITION BY claim_id)))
+, LATERAL (SELECT unnest(copies)) GROUP BY ALL"""),
+)
 _EXPECTED = [("claim_id", "string"), ("policy_id", "string"), ("accident_date", "date"), ("estimated_amount", "number"),
              ("coverage_type", "string"), ("claimant_state", "string"), ("currency", "string"), ("adjuster", "string")]
 
@@ -289,14 +355,56 @@ add(
 
 # --- profiling ---------------------------------------------------------------------------------------------
 
-_PROFILED = {"o_orderkey": "bigint", "o_custkey": "bigint", "o_orderstatus": "string", "o_orderpriority": "string"}
+#: The columns of the tables, as they are read.
+_COLUMNS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, "
+    "l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp",
+    "events": "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+    "pages": "page_id bigint, url string, html string",
+    "benchmark": "item_id bigint, text string",
+    "labels": "doc_id bigint, quality int, toxic int",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+}
+_FIELDS = [(t, *field.rsplit(" ", 1)) for t, fields in _COLUMNS.items() for field in fields.split(", ")]
+
+
+def _printed(column, kind):
+    """A bound as DuckDB text, as operators.profile shows it."""
+    if kind.startswith("array"):
+        return "CAST(NULL AS VARCHAR)"
+    return {"double": f"printf('%.9e', {column})", "timestamp": f"strftime({column}, '%Y-%m-%d %H:%M:%S')"}.get(kind, f"CAST({column} AS VARCHAR)")
+
+
+def _profiles(d, *tables):
+    found = [profile.profile_table(d.spark, f"{d.folder}/{t}.parquet", t) for t in tables]
+    return reduce(DataFrame.unionByName, found).withColumn("data_type", F.regexp_replace("data_type", "timestamp_ntz", "timestamp"))
+
+
+def _profile_sql(*tables):
+    return sql("\nUNION ALL\n".join(
+        f"SELECT '{t}' AS table_name, '{c}' AS column_name, '{k}' AS data_type, count(*) AS row_count, count(*) - count({c}) AS null_count, "
+        f"{_printed(f'min({c})', k)} AS min_value, {_printed(f'max({c})', k)} AS max_value FROM {t}"
+        for t, c, k in _FIELDS if t in tables))
+
+
+add("profile_columns", lambda d: _profiles(d, "orders").drop("table_name"), f"SELECT * EXCLUDE (table_name) FROM ({_profile_sql('orders')})")
+add("profile_tables", lambda d: _profiles(d, *_COLUMNS), _profile_sql(*_COLUMNS))
 add(
-    "profile_columns",
-    lambda d: profile.profile_columns(d.source("orders").select(*_PROFILED)),
+    "obs_null_rate_tables",
+    lambda d: _profiles(d, *_COLUMNS).select(
+        "table_name", "column_name", "null_count", F.round(F.col("null_count") / F.greatest("row_count", F.lit(1)), 6).alias("null_rate")
+    ),
     sql("\nUNION ALL\n".join(
-        f"SELECT '{c}' AS column_name, '{t}' AS data_type, count(*) - count({c}) AS null_count, CAST(min({c}) AS VARCHAR) AS min_value, "
-        f"CAST(max({c}) AS VARCHAR) AS max_value, count(*) AS row_count, 4 AS column_count FROM orders"
-        for c, t in _PROFILED.items())),
+        f"SELECT '{t}' AS table_name, '{c}' AS column_name, count(*) - count({c}) AS null_count, "
+        f"round((count(*) - count({c})) / greatest(count(*), 1), 6) AS null_rate FROM {t}" for t, c, _ in _FIELDS)),
 )
 add(
     "profile_sample",

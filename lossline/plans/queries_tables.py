@@ -10,6 +10,7 @@ from lossline.functions.columns import digest_key, surrogate_key
 from lossline.operators import patterns as p
 from lossline.plans.catalog import add
 from lossline.plans.oracle import relation, sql, table
+from lossline.session import materialise
 from lossline.sources import files, sinks
 from lossline.sources.schemas import RAW_SCHEMAS
 from lossline.streaming.sinks import append_batches
@@ -181,6 +182,29 @@ add(
 )
 
 
+def _packed(d):
+    """Partitions of many small files and one large file each, packed where they lie."""
+    path, rows = d.scratch("packed"), d["stg_claim_payments"].withColumn("year", F.year("payment_date"))
+    rows.repartition(12).write.partitionBy("year").parquet(path)
+    before = d.spark.read.parquet(path).select(F.col("_metadata.file_path").alias("f")).distinct()
+    before = materialise(before, "files-before")
+    sinks.compact_small_files(d.spark, path)
+    read = d.spark.read.parquet(path)
+    kept = read.select("*", F.col("_metadata.file_path").alias("f")).join(before.withColumn("old", F.lit(1)), "f", "left")
+    return kept.groupBy("year").agg(
+        F.count("*").alias("n"), F.sum("payment_amount").alias("amount"), F.countDistinct("f").alias("files"), F.count("old").alias("rows_in_old_files")
+    )
+
+
+add(
+    # A year with one file alone keeps it, with all its rows; the others get one file.
+    "snk_compact_partitions",
+    lambda d: _packed(d).select("year", "n", "amount", "files", ((F.col("rows_in_old_files") == 0) | (F.col("rows_in_old_files") == F.col("n"))).alias("whole")),
+    sql("SELECT CAST(year(payment_date) AS INTEGER) AS year, count(*) AS n, CAST(sum(payment_amount) AS DOUBLE) AS amount, 1 AS files, TRUE AS whole "
+        "FROM stg_claim_payments GROUP BY 1"),
+)
+
+
 def _policy_updates(d):
     """Updates: every fifth policy ends, and ids above all known ones are new."""
     policies = d["stg_policies"].select("policy_id", "status", "annual_premium")
@@ -199,6 +223,32 @@ UNION ALL SELECT policy_id + 1000000000, status, CAST(annual_premium AS DOUBLE)
 )
 
 
+def _upserted(d):
+    """Updates of the policies that end after 1998, by year of their start; some move to another year, some are new."""
+    path, policies = d.scratch("upsert"), d["stg_policies"].select("policy_id", "status", F.year("effective_date").alias("year"))
+    policies.write.partitionBy("year").parquet(path)
+    before = materialise(d.spark.read.parquet(path).select("year", F.col("_metadata.file_path").alias("f")).distinct(), "files-before")
+    some = policies.filter("year >= 1997")
+    moved = some.filter("policy_id % 5 = 0").withColumn("status", F.lit("moved")).withColumn("year", F.col("year") + 1)
+    added = some.filter("policy_id % 50 = 1").withColumn("policy_id", F.col("policy_id") + 1_000_000_000)
+    sinks.upsert_partitions(moved.unionByName(added), path, "policy_id", "year")
+    after = d.spark.read.parquet(path)
+    same = after.select("*", F.col("_metadata.file_path").alias("f")).join(before.select("f", F.lit(1).alias("old")), "f", "left")
+    return same.select("policy_id", "status", "year", F.col("old").isNotNull().alias("file_kept"))
+
+
+add(
+    "snk_upsert_partitions",
+    _upserted,
+    sql("""
+SELECT policy_id, status, year, year < 1997 AS file_kept FROM (
+  SELECT policy_id, if(year(effective_date) >= 1997 AND policy_id % 5 = 0, 'moved', status) AS status,
+         CAST(year(effective_date) + if(year(effective_date) >= 1997 AND policy_id % 5 = 0, 1, 0) AS INTEGER) AS year FROM stg_policies
+  UNION ALL SELECT policy_id + 1000000000, status, CAST(year(effective_date) AS INTEGER) FROM stg_policies
+  WHERE year(effective_date) >= 1997 AND policy_id % 50 = 1)"""),
+)
+
+
 def _backfilled(d):
     """Load all years, then replay the later ones with doubled amounts, twice."""
     path = d.scratch("backfill")
