@@ -31,7 +31,9 @@ def _premium() -> Column:
 
 
 def _number(prefix: str, key: Column) -> Column:
-    return F.concat(F.lit(prefix), F.lpad(key.cast("string"), 6, "0"))
+    """At least six digits; longer ids stay whole."""
+    digits = key.cast("string")
+    return F.concat(F.lit(prefix), F.when(F.length(digits) < 6, F.lpad(digits, 6, "0")).otherwise(digits))
 
 
 def _policy_columns() -> dict[str, Column]:

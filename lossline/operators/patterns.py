@@ -43,9 +43,10 @@ def by_month(df: DataFrame, day: str, value: str) -> DataFrame:
 
 
 def pivot_sum(df: DataFrame, row: str, column: str, values: Sequence, amount: str, prefix: str) -> DataFrame:
-    """Sums of amount, one column per value; 0 where there is none."""
+    """Sums of amount, one column per value and one for all others; 0 where there is none. A row adds up to all amounts."""
     sums = [F.sum(F.when(F.col(column) == v, F.col(amount)).otherwise(0)).alias(f"{prefix}{v}") for v in values]
-    return df.groupBy(row).agg(*sums)
+    rest = F.coalesce(~F.col(column).isin(list(values)), F.lit(True))
+    return df.groupBy(row).agg(*sums, F.sum(F.when(rest, F.col(amount)).otherwise(0)).alias(f"{prefix}other"))
 
 
 def unpivot(df: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:

@@ -75,9 +75,12 @@ def against_baseline(current: DataFrame, baseline: DataFrame, shift: float = 0.1
     drifted: more than `shift` and both rank errors.
     """
     marks = [0.25, 0.5, 0.75]
-    known = baseline.filter("filled > 0").select(
-        "column_name", *[F.kll_sketch_get_quantile_double("ranks", F.lit(m)).alias(f"_q{i}") for i, m in enumerate(marks)]
-    )
-    found = current.filter("filled > 0").join(known, "column_name")
-    moved = F.greatest(*[F.abs(F.kll_sketch_get_rank_double("ranks", F.col(f"_q{i}")) - F.lit(m)) for i, m in enumerate(marks)])
+    quartiles = [F.kll_sketch_get_quantile_double("ranks", F.lit(m)).alias(f"q{i}") for i, m in enumerate(marks)]
+    # The rank of a value is asked for with a constant; there are three of them per column.
+    known = baseline.filter("filled > 0").select("column_name", *quartiles).collect()
+    found = current.filter(F.col("filled") > 0).filter(F.col("column_name").isin([r.column_name for r in known]))
+    moved = F.lit(None).cast("double")
+    for r in known:
+        apart = F.greatest(*[F.abs(F.kll_sketch_get_rank_double("ranks", F.lit(r[f"q{i}"])) - F.lit(m)) for i, m in enumerate(marks)])
+        moved = F.when(F.col("column_name") == r.column_name, apart).otherwise(moved)
     return found.select("period", "column_name", "filled", F.round(moved, 6).alias("moved"), (moved > shift + 2 * RANK_ERROR).alias("drifted"))

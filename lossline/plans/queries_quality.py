@@ -435,6 +435,14 @@ add(
         for t in _FILES)),
 )
 
+add(
+    "profile_directory_totals",
+    lambda d: profile.directory_totals(profile.profile_directory(d.spark, d.folder)).select(
+        "files", (F.col("total_size_bytes") > 0).alias("has_bytes"), "csv_count", "parquet_count"
+    ),
+    f"SELECT {len(_FILES)} AS files, TRUE AS has_bytes, 0 AS csv_count, {len(_FILES)} AS parquet_count FROM region LIMIT 1",
+)
+
 # --- running the layers ----------------------------------------------------------------------------------------
 
 _RUN = [n for n in ("stg_policyholders", "stg_policies", "stg_claims", "stg_claim_payments", "stg_coverages",

@@ -82,6 +82,23 @@ add(
 )
 
 
+def _mixed(d):
+    """Payments in csv and parquet files below one folder, read together."""
+    folder, rows = d.scratch("mixed"), d["raw_claim_payments"].select("payment_id", "payment_type", "payment_amount")
+    rows.filter("payment_id % 3 = 0").write.option("header", True).option("ignoreTrailingWhiteSpace", False).csv(f"{folder}/exports")
+    rows.filter("payment_id % 3 <> 0").write.parquet(f"{folder}/tables")
+    read = files.read_folder(d.spark, folder, "payment_id BIGINT, payment_type STRING, payment_amount DECIMAL(16,2)")
+    return read.groupBy("payment_type", "format").agg(F.count("*").alias("n"), F.sum("payment_amount").alias("amount"))
+
+
+add(
+    "src_glob_mixed",
+    _mixed,
+    sql("SELECT payment_type, if(payment_id % 3 = 0, 'csv', 'parquet') AS format, count(*) AS n, CAST(sum(payment_amount) AS DOUBLE) AS amount "
+        "FROM raw_claim_payments GROUP BY ALL"),
+)
+
+
 def _watched(d):
     """A folder watched twice: the second look must hand over only the file that came between."""
     folder, out, seen = d.scratch("inbox"), d.scratch("received"), d.scratch("seen")
@@ -322,9 +339,10 @@ FROM monthly_losses WINDOW w AS (ORDER BY month ROWS 2 PRECEDING)"""),
 )
 add(
     "pat_pivot",
-    lambda d: p.pivot_sum(d.development, "accident_year", "development_year", [1, 2, 3], "payment_amount", "dev_"),
+    lambda d: p.pivot_sum(d.development, "accident_year", "development_year", range(6), "payment_amount", "dev_"),
     sql("SELECT accident_year, " + ", ".join(
-        f"CAST(sum(if(development_year = {i}, payment_amount, 0)) AS DOUBLE) AS dev_{i}" for i in (1, 2, 3))
+        f"CAST(sum(if(development_year = {i}, payment_amount, 0)) AS DOUBLE) AS dev_{i}" for i in range(6))
+        + ", CAST(sum(if(development_year BETWEEN 0 AND 5, 0, payment_amount)) AS DOUBLE) AS dev_other"
         + " FROM fct_claim_payments GROUP BY accident_year"),
 )
 _METRICS = ["total_paid", "current_reserve", "incurred_amount"]

@@ -43,6 +43,15 @@ def read_glob(spark: SparkSession, path: str, schema: str, fmt: str) -> DataFram
     return rows.withColumn("source_file", F.col("_metadata.file_path"))
 
 
+def read_folder(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """All csv and parquet files below a folder or glob as one table, with format and source_file of each row.
+
+    schema holds for both; a format without any file adds no rows.
+    """
+    both = [read_glob(spark, path, schema, fmt).withColumn("format", F.lit(fmt)) for fmt in ("csv", "parquet")]
+    return both[0].unionByName(both[1])
+
+
 def new_files(spark: SparkSession, folder: str, schema: str, checkpoint: str, sink) -> StreamingQuery:
     """Hand files not seen before to sink(batch, batch_id), then stop.
 

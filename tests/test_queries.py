@@ -16,6 +16,8 @@ rpt_loss_triangle triangle_as_of chain_ladder_ultimate ibnr rpt_claim_frequency
 bi_portfolio_kpis bi_geo_risk feat_policy_experience feat_historical_benchmarks ord_ntile fremtpl_claims fremtpl_frequency
 str_validate intake_validate_all batch_hourly_summary stream_late_arrivals stream_final_only dq_gate
 dq_referential obs_volume table_diff profile_columns src_csv snk_merge_upsert pat_scd2 pat_scd2_lookup
+obs_distribution_sketches table_diff_repeated_keys snk_compact_partitions snk_upsert_partitions src_glob_mixed pat_pivot
+stream_late_arrivals_state stream_repeat_claims_state stream_session_state stream_enrich_policy_versions glm_frequency_sparse
 """.split()
 
 

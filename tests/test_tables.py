@@ -146,3 +146,19 @@ def test_gate_on_an_empty_table(spark):
 
 def test_dataset_names():
     assert dataset_name("staging", "prod") == "staging" and dataset_name("staging", "dev") == "dev_staging"
+
+
+def test_numbers_of_long_ids_stay_whole(spark):
+    from lossline.operators.motor import _number
+
+    rows = spark.createDataFrame([(7,), (999_999,), (1_000_000,), (12_345_678,)], "k long")
+    got = [r[0] for r in rows.select(_number("POL-", F.col("k"))).collect()]
+    assert got == ["POL-000007", "POL-999999", "POL-1000000", "POL-12345678"]
+
+
+def test_pivot_adds_up(spark):
+    from lossline.operators import patterns
+
+    rows = spark.createDataFrame([("a", 1, 10), ("a", 9, 5), ("a", None, 2), ("b", -1, 3)], "g string, y int, v int")
+    got = {r.g: (r.y_1, r.y_2, r.y_other) for r in patterns.pivot_sum(rows, "g", "y", [1, 2], "v", "y_").collect()}
+    assert got == {"a": (10, 0, 7), "b": (0, 0, 3)}
