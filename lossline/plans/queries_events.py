@@ -436,6 +436,21 @@ def _in_batches(d, build, mode, sink, batches=3):
     return T.StructType([*built.schema.fields, T.StructField(sinks.BATCH, T.LongType())])
 
 
+def _upserted(d):
+    """Window summaries over several batches, of which the table holds the last row of each window only."""
+    path = d.scratch("windows")
+    sink = sinks.upsert_batches(path, _PANE_KEY, "window_start")
+    _in_batches(d, lambda e: streams.windowed(e, _SLACK), "update", sink)
+    return d.spark.read.parquet(path).drop("window_start_day")
+
+
+add(
+    "stream_window_summary_upsert",
+    _upserted,
+    sql(f"SELECT {_WINDOW}, {_SUMS} FROM good_events GROUP BY date_trunc('hour', event_time), coverage_type"),
+)
+
+
 def _kept(d, build, name, mode="append", keys=None):
     out = d.scratch(name)
     rows = d.spark.read.schema(_in_batches(d, build, mode, sinks.append_batches(out))).parquet(out)

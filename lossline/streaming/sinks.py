@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lossline.operators import events as ev
+from lossline.session import materialise
 
 BATCH = "batch_id"
 
@@ -27,6 +28,31 @@ def latest(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.groupBy(*keys).agg(last).select(*keys, *[f"last.{c}" for c in rest])
 
 
+def upsert_batches(path: str, keys: list[str], day: str) -> Callable[[DataFrame, int], None]:
+    """foreachBatch function that keeps one row per key: the one of the last batch that said something of it.
+
+    The table has a folder per day of the column `day` (part of the key); a batch reads and overwrites the days it speaks
+    of, so neither a batch nor a reader meets the updates of the past. A batch that runs again replaces its own rows.
+    """
+    folder = f"{day}_day"
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        rows = materialise(batch.withColumn(folder, F.date_format(day, "yyyy-MM-dd")), "batch")
+        days = [r[0] for r in rows.select(folder).distinct().collect()]  # names of the folders that are written
+        if not days:
+            return
+        hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+        if hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
+            held = spark.read.schema(rows.schema).parquet(path).filter(F.col(folder).isin(days))
+            said = rows.select(*[F.col(k).alias(f"_{i}") for i, k in enumerate(keys)])
+            same = [F.col(k).eqNullSafe(F.col(f"_{i}")) for i, k in enumerate(keys)]
+            rows = materialise(held.join(said, same, "left_anti").unionByName(rows), "merged")
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(folder).parquet(path)
+
+    return write
+
+
 def route_batches(
     valid_path: str, dead_path: str, subscribers: dict[str, dict[str, list[str]]] | None = None
 ) -> Callable[[DataFrame, int], None]:

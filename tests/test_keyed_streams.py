@@ -159,3 +159,18 @@ def test_pane_totals_beyond_64_bits_of_millionths(spark, tmp_path):
     cfg = StreamConfig()
     rows = Arriving(spark, tmp_path).run(lambda e: panes.pane_summary(e, cfg), parts_of(events, 2), "update").orderBy("claim_count").collect()
     assert [(r.claim_count, r.total_amount_mxn) for r in rows] == [(3, 1.5e13), (6, 3e13)]
+
+
+def test_upserted_windows(spark, tmp_path):
+    """One row per window after any number of batches; a batch that runs again changes nothing, other days are not touched."""
+    path = str(tmp_path / "t")
+    sink = sinks.upsert_batches(path, ["w", "c"], "w")
+    batch = lambda *rows: spark.createDataFrame([(START + timedelta(days=d), c, n) for d, c, n in rows], "w timestamp, c string, n int")
+    sink(batch((0, "a", 1), (0, None, 2), (1, "a", 3)), 0)
+    other = sorted(f.name for f in (tmp_path / "t" / "w_day=2024-01-02").glob("*.parquet"))
+    for _ in range(2):
+        sink(batch((0, "a", 5), (0, "b", 6)), 1)
+        sink(batch((0, None, 9)).limit(0), 2)
+        rows = {((r.w - START).days, r.c): r.n for r in spark.read.parquet(path).collect()}
+        assert rows == {(0, "a"): 5, (0, "b"): 6, (0, None): 2, (1, "a"): 3}
+    assert sorted(f.name for f in (tmp_path / "t" / "w_day=2024-01-02").glob("*.parquet")) == other
