@@ -289,7 +289,7 @@ def op12_mixing_lm(spark: SparkSession, folder: str) -> DataFrame:
     docs = pick(load(spark, folder, "documents"), "doc_id", "text")
     held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 5 == 1
     model, counts = mixing_lm.fit(docs.filter(~held_out))
-    found = mixing_lm.score(docs, model, counts)
+    found = mixing_lm.score(docs, model, counts, keep_text=False)
     tokens = F.lit(model.tokens).cast("long").alias("train_tokens")
     return found.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", tokens, "base_score", "score")
 
