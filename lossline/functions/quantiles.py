@@ -1,8 +1,8 @@
 """Exact order statistics of large tables, without sorting them.
 
-A sketch of every group gives cut points close to both sides of the wanted ranks. One pass counts the values between the cut
-points exactly, so the stretch that holds a rank is certain whatever the sketch says; only the values in these stretches
-are kept. If a stretch is still long it is cut again, evenly. What is left is counted value by value: heavy ties are one row.
+As long as a stretch of values is long, a sketch gives cut points: at first close to both sides of the wanted ranks, later evenly.
+One pass counts the values between the cut points exactly, so the stretch that holds a rank is certain whatever the sketch
+says; only the values in these stretches are kept. What is left is counted value by value: heavy ties are one row.
 """
 
 from __future__ import annotations
@@ -15,8 +15,8 @@ from lossline.session import materialise
 
 #: Rank error of the sketch: one in so many rows.
 ACCURACY = 10_000
-#: Different values of a stretch that are put in order in one task.
-STRETCH = 100_000
+#: Rows of a stretch whose different values are put in order in one task.
+STRETCH = 1_000_000
 EVEN = 64
 
 
@@ -29,13 +29,15 @@ def values_at(values: DataFrame, keys: Sequence[str], value: str, places: Sequen
     """
     keys = list(keys)
     rows = values.select(*keys, F.col(value).alias("_v"))
-    around = sorted({min(1.0, max(0.0, p + s * 2 / ACCURACY)) for p in near for s in (-1, 1)})
-    told = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("_v", around, ACCURACY).alias("_cuts"))
-    told = materialise(told, "cut-points")
+    told = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min("_v").alias("_low"), F.max("_v").alias("_high"))
+    told = materialise(told, "groups")
     wanted = told.select(*keys, F.explode(F.array_distinct(F.array(*[p.cast("bigint") for p in places]))).alias("at"))
     wanted = wanted.select("*", F.col("at").alias("_place"), F.lit(0).cast("bigint").alias("_base"))
-    cuts, path = told.drop("n"), list(keys)
-    while True:
+    longest = told.agg(F.max(F.when(F.col("_low") < F.col("_high"), F.col("n")))).first()[0]
+    path = list(keys)
+    shares = sorted({min(1.0, max(0.0, p + s * 2 / ACCURACY)) for p in near for s in (-1, 1)})
+    while (longest or 0) > STRETCH:
+        cuts = rows.groupBy(*path).agg(F.percentile_approx("_v", shares, ACCURACY).alias("_cuts"))
         bucket = F.size(F.filter("_cuts", lambda c: c < F.col("_v")))
         placed = rows.join(cuts, path).withColumn("_b", bucket).drop("_cuts")
         counts = placed.groupBy(*path, "_b").agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_low"), F.max("_v").alias("_high"))
@@ -52,9 +54,7 @@ def values_at(values: DataFrame, keys: Sequence[str], value: str, places: Sequen
         rows = placed.withColumnRenamed("_b", step).join(chosen.select(*path, step).distinct(), [*path, step], "left_semi")
         path, wanted = [*path, step], chosen.drop("_n", "_low", "_high")
         longest = chosen.agg(F.max(F.when(F.col("_low") < F.col("_high"), F.col("_n")))).first()[0]
-        if (longest or 0) <= STRETCH:
-            break
-        cuts = rows.groupBy(*path).agg(F.percentile_approx("_v", [i / EVEN for i in range(1, EVEN)], ACCURACY).alias("_cuts"))
+        shares = [i / EVEN for i in range(1, EVEN)]
     counted = rows.groupBy(*path, "_v").agg(F.count(F.lit(1)).alias("_n"))
     so_far = Window.partitionBy(*path).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     counted = counted.withColumn("_end", F.sum("_n").over(so_far))
