@@ -91,6 +91,15 @@ def test_dependent_and_constant_features_drop_out(spark):
     assert glm.independent_features(glm._with_vector(df, ["a", "b", "both", "one"])) == [0, 1]
 
 
+@pytest.mark.parametrize("size, base", [(8_000, 31.7), (100_000, 3.1), (100_000, 313.3)])
+def test_a_number_that_follows_from_a_category_drops_out(spark, size, base):
+    """However little it varies beside its size: here sums of raw products were off by more than the tolerance."""
+    category = F.substring(F.lit("abcdefgh"), (F.sqrt(F.col("id") * 7) % 8 + 1).cast("int"), F.lit(1))
+    df = spark.range(size).select(category.alias("c"), (F.col("id") % 9).cast("double").alias("free"))
+    vectors, names = glm.encode(df.withColumn("follows", F.lit(base) + 0.37 * F.log(F.ascii("c") - 95.0) / 100), ["c"], ["follows", "free"])
+    assert [names[i] for i in glm.independent_features(vectors)] == [*[f"c_{c}" for c in "abcdefg"], "free"]
+
+
 def test_design_fills_gaps_and_has_no_limit_of_levels(spark):
     rows = [("train", f"level {i % 1200:04}", None if i % 7 == 0 else float(i % 5), float(i)) for i in range(2400)]
     df = spark.createDataFrame(rows, "split string, age_band string, log_premium double, target_pure_premium double")
@@ -137,6 +146,15 @@ def test_medians_are_imputed_per_split(spark):
     assert sorted((r["split"], r["x"]) for r in got) == [("test", 10.0), ("test", 10.0), ("train", 1.0), ("train", 2.0), ("train", 3.0)]
 
 
+def test_medians_are_searched_for_columns_with_gaps_only(spark, monkeypatch):
+    searched = []
+    plain = features.exact_medians
+    monkeypatch.setattr(features, "exact_medians", lambda df, columns, by: searched.append(columns) or plain(df, columns, by))
+    df = spark.createDataFrame([("train", 1.0, 5.0), ("train", None, 6.0)], "split string, x double, y double")
+    assert [(r["x"], r["y"]) for r in features.feat_median_impute(df, ["y", "x"]).orderBy("y").collect()] == [(1.0, 5.0), (1.0, 6.0)]
+    assert features.feat_median_impute(df, ["y"]).count() == 2 and searched == [["x"]]
+
+
 def test_equal_severities_get_their_own_claims(spark, monkeypatch):
     monkeypatch.setattr(motor, "CHUNK", 3)
     frequency = spark.createDataFrame([(1, 8, 0.5), (2, 1, 1.0), (3, 0, 1.0)], "IDpol bigint, ClaimNb int, Exposure double")

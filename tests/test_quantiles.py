@@ -57,6 +57,20 @@ def test_stretches_are_cut_again(spark, monkeypatch):
     assert got == want | {("h", 0): (0, 0), ("h", 5): (5, 5)}
 
 
+def test_few_different_values_need_no_cuts(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from lossline.functions import quantiles
+
+    written = []
+    plain = quantiles.materialise
+    monkeypatch.setattr(quantiles, "STRETCH", 10)
+    monkeypatch.setattr(quantiles, "materialise", lambda df, name: written.append(name) or plain(df, name))
+    rows = spark.range(3000).select(F.lit("g").alias("g"), (F.col("id") % 4).alias("v"))
+    found = quantiles.values_at(rows, ["g"], "v", [F.expr("n div 2")], [0.5]).first()
+    assert (found.value, found.below) == (2, 1500) and written == ["groups"]
+
+
 def test_tiles_equal_ntile(spark, tiles=4):
     from lossline.functions.ordering import ord_ntile
     from lossline.functions.quantiles import tiles_by_cuts
