@@ -8,7 +8,6 @@ of the watermark can reach are forgotten.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from datetime import datetime, timedelta, timezone
 
 import pandas as pd
 import pyarrow as pa
@@ -40,17 +39,6 @@ def reduced(events: DataFrame, keys: dict[str, Column], kinds: str) -> DataFrame
     return narrow.mapInArrow(run, f"{kinds}, {REDUCED}")
 
 
-def _utc(us: int) -> datetime:
-    return datetime(1970, 1, 1, tzinfo=timezone.utc) + timedelta(microseconds=us)
-
-
-def _micros(instant: datetime) -> int:
-    """Instants reach a processor in the session's zone, without naming it; sessions here run in UTC."""
-    if instant.tzinfo is None:
-        instant = instant.replace(tzinfo=timezone.utc)
-    return (instant - _utc(0)) // timedelta(microseconds=1)
-
-
 # --- late arrivals ----------------------------------------------------------------------------
 
 LATE = "claim_id STRING, event_time TIMESTAMP, arrival_ts TIMESTAMP, value STRING, lateness_seconds BIGINT"
@@ -160,69 +148,21 @@ def repeat_claims(events: DataFrame, cfg: StreamConfig, days: int = 30, at_least
 # --- sessions -----------------------------------------------------------------------------------
 
 
-class SessionProcessor(StatefulProcessor):
-    """Open sessions of one key; a session goes out once the watermark has passed its last event by the gap."""
-
-    def __init__(self, gap_us: int):
-        self.gap = gap_us
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.sessions = handle.getMapState("sessions", "start BIGINT", f"last BIGINT, n BIGINT, total {AMOUNT}")
-
-    def close(self) -> None:
-        pass
-
-    def _due(self, last: int) -> int:
-        return -(-(last + self.gap) // 1000)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        held = {start: tuple(value) for (start,), value in self.sessions.iterator()}
-        before = set(held)
-        touched = set()
-        for part in rows:
-            start, last, n, total = _micros(part.first), _micros(part.event_time), part.n, part.total
-            for other in [s for s, v in held.items() if start < v[0] + self.gap and s < last + self.gap]:
-                there = held.pop(other)
-                touched.discard(other)
-                start, last, n, total = min(start, other), max(last, there[0]), n + there[1], total + there[2]
-            held[start] = (last, n, total)
-            touched.add(start)
-        for start in before - set(held):
-            self.sessions.removeKey((start,))
-        for start in touched:
-            self.sessions.updateValue((start,), held[start])
-            self.handle.registerTimer(self._due(held[start][0]))
-        return iter(())
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        now = expiredTimerInfo.getExpiryTimeInMs()
-        for (start,), (last, n, total) in list(self.sessions.iterator()):
-            if self._due(last) <= now:
-                self.sessions.removeKey((start,))
-                yield Row(key=key[0], start=start, last=last, n=n, total=total)
-
-
 def sessions(events: DataFrame, cfg: StreamConfig, key: str = "policy_id", gap_seconds: int = 1800) -> DataFrame:
     """Closed sessions per key: events less than the gap apart belong together; nothing is said of open ones.
 
-    Partials of a minute (or the gap, if shorter) and Arrow batch are what is shuffled and merged in state.
+    With the settings of session.configure_state_store, the sessions of each task's events are what is shuffled and merged
+    in state.
     """
-    piece = F.floor(F.unix_seconds("event_time") / min(60, gap_seconds)).cast("bigint")
-    partial = reduced(events, {"key": F.col(key), "piece": piece}, "key STRING, piece BIGINT").withWatermark("event_time", cfg.lateness)
-    closed = partial.groupBy("key").transformWithState(
-        statefulProcessor=SessionProcessor(gap_seconds * 1_000_000),
-        outputStructType=f"key STRING, start BIGINT, last BIGINT, n BIGINT, total {AMOUNT}",
-        outputMode="Append",
-        timeMode="EventTime",
-    )
-    return closed.select(
-        F.col("key").alias(key),
-        F.timestamp_micros("start").alias("session_start"),
-        F.timestamp_micros("last").alias("last_event"),
-        F.col("n").alias("claim_count"),
-        F.round("total", 2).cast("double").alias("total_amount_mxn"),
+    # Spark joins windows that touch; a microsecond less keeps events apart that are a whole gap apart.
+    window = F.session_window("event_time", f"{gap_seconds * 1_000_000 - 1} microseconds")
+    closed = events.withWatermark("event_time", cfg.lateness).groupBy(key, window.alias("s")).agg(
+        F.min("event_time").alias("session_start"),
+        F.max("event_time").alias("last_event"),
+        F.count("*").alias("claim_count"),
+        F.round(F.sum(F.col("estimated_amount").cast(AMOUNT)), 2).cast("double").alias("total_amount_mxn"),
     )
+    return closed.drop("s")
 
 
 # --- policy versions ------------------------------------------------------------------------------

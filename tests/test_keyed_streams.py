@@ -128,6 +128,21 @@ def test_sessions(spark, tmp_path, batches):
     assert sorted(map(tuple, found.drop(sinks.BATCH).collect())) == sorted(map(tuple, want.collect())) != []
 
 
+def test_sessions_need_no_call_per_key_and_merge_before_the_shuffle(spark, tmp_path):
+    configure_state_store(spark)
+    rows = table(spark, [event(n, n // 50, "hot") for n in range(400)] + [event(900, 30 + 7, "hot"), event(901, 900, "end")])
+    rows.repartition(2).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in"))
+    query = streams.run_available(
+        keyed.sessions(stream, StreamConfig(allowed_lateness_seconds=60)), sinks.append_batches(str(tmp_path / "out")), str(tmp_path / "checkpoint")
+    )
+    plan = query._jsq.explainInternal(False)
+    assert "SessionWindowStateStoreSave" in plan and "TransformWithState" not in plan and plan.count("MergingSessions") >= 2
+    found = spark.read.parquet(str(tmp_path / "out"))
+    # The last event of the first stretch is 30 minutes before the next: a whole gap apart.
+    assert sorted((r.policy_id, r.claim_count) for r in found.collect()) == [("hot", 1), ("hot", 400)]
+
+
 def test_a_hot_key_is_reduced_before_the_shuffle(spark):
     events = spark.range(20_000).select(
         F.lit("p").alias("policy_id"), F.lit(1).cast("decimal(28,6)").alias("estimated_amount"), F.timestamp_seconds(F.col("id") % 600).alias("event_time")
