@@ -149,3 +149,16 @@ def test_run_stops_at_the_first_failing_layer(spark, data, tmp_path):
 def test_models_name_their_inputs(spark, data):
     warehouse = Warehouse(raw_tables(spark, data), PROJECTION_CONFIG)
     assert len(warehouse) == 25 and list(warehouse)[: len(RAW)] == list(RAW)
+
+
+def test_training_set_writes_only_the_columns_of_claims_it_reads(spark, data):
+    from lossline.plans import warehouse
+
+    plain, kept = Data(spark, data), Data(spark, data)
+    whole = kept["model_training_set"]
+    assert kept.models._narrow["fct_claims"].columns == list(warehouse.PRICED_CLAIMS)
+    assert len(kept["fct_claims"].columns) > len(warehouse.PRICED_CLAIMS)  # others still see the whole table
+    plain.models.keep("fct_claims")
+    assert not plain.models._narrow
+    other = plain["model_training_set"]
+    assert not plain.models._narrow and whole.exceptAll(other).count() == other.exceptAll(whole).count() == 0 < whole.count()
