@@ -160,10 +160,11 @@ add(
 
 
 def _partitioned(d):
-    """All laid-out tables, written by year and read back."""
+    """All laid-out tables, written by year and read back; a table is built from those already written."""
     found = None
     for name, (day, cluster) in sinks.LAYOUT.items():
         rows = sinks.write_partitioned(d[name], d.scratch(f"by-year-{name}"), day, cluster)
+        d.models[name] = rows.drop(f"{day}_year")
         years = rows.groupBy(F.col(f"{day}_year").alias("year")).agg(F.count("*").alias("n"), F.countDistinct("claim_id").alias("claims"))
         years = years.select(F.lit(name).alias("table_name"), "year", "n", "claims")
         found = years if found is None else found.unionByName(years)

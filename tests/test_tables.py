@@ -162,3 +162,26 @@ def test_pivot_adds_up(spark):
     rows = spark.createDataFrame([("a", 1, 10), ("a", 9, 5), ("a", None, 2), ("b", -1, 3)], "g string, y int, v int")
     got = {r.g: (r.y_1, r.y_2, r.y_other) for r in patterns.pivot_sum(rows, "g", "y", [1, 2], "v", "y_").collect()}
     assert got == {"a": (10, 0, 7), "b": (0, 0, 3)}
+
+
+def _sources(df):
+    return {f.rsplit("/testdata/", 1)[-1].split("/")[-1] for f in df.inputFiles()}
+
+
+def test_partitioned_tables_are_built_from_those_already_written(spark, data, monkeypatch):
+    from lossline.plans import queries_tables
+    from lossline.plans.catalog import Data
+
+    seen, write = {}, sinks.write_partitioned
+
+    def noted(df, path, *more):
+        seen[path.rsplit("by-year-", 1)[-1].rsplit("-", 1)[0]] = (_sources(df), df.columns)
+        return write(df, path, *more)
+
+    monkeypatch.setattr(sinks, "write_partitioned", noted)
+    found = queries_tables._partitioned(Data(spark, data))
+    assert "lineitem.parquet" in seen["stg_claim_payments"][0]
+    for name in ("int_claim_payments_cumulative", "fct_claims", "fct_claim_payments"):
+        assert "lineitem.parquet" not in seen[name][0]
+        assert not [c for c in seen[name][1] if c.endswith("_date_year")]
+    assert {r.table_name for r in found.collect()} == set(sinks.LAYOUT)
