@@ -134,7 +134,9 @@ def _twice(d, df):
 
 
 def _exported(d):
-    """All exports of the warehouse; returns the rows of each."""
+    """All exports of the warehouse; returns the rows of each. What several of them read is written once before."""
+    for shared in ("stg_claims", "fct_claims", "fct_claim_payments"):
+        d.models.keep(shared)
     wanted = {n: d[n] for n in sinks.WAREHOUSE_EXPORTS}
     paths = sinks.export_csv(wanted, d.scratch("export"))
     counted = [

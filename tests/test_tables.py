@@ -185,3 +185,15 @@ def test_partitioned_tables_are_built_from_those_already_written(spark, data, mo
         assert "lineitem.parquet" not in seen[name][0]
         assert not [c for c in seen[name][1] if c.endswith("_date_year")]
     assert {r.table_name for r in found.collect()} == set(sinks.LAYOUT)
+
+
+def test_exports_share_what_several_of_them_read(spark, data, monkeypatch):
+    from lossline.plans import queries_tables
+    from lossline.plans.catalog import Data
+
+    seen, export = {}, sinks.export_csv
+    monkeypatch.setattr(sinks, "export_csv", lambda tables, folder: seen.update(tables) or export(tables, folder))
+    found = queries_tables._exported(Data(spark, data)).collect()
+    for name in ("fct_claims", "fct_claim_payments", "rpt_loss_triangle"):
+        assert "lineitem.parquet" not in _sources(seen[name])
+    assert {r.table_name for r in found} == set(sinks.WAREHOUSE_EXPORTS)
