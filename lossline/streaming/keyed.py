@@ -89,30 +89,33 @@ def with_lateness(events: DataFrame, shard: Column, order: list[str]) -> DataFra
 
 
 class RepeatProcessor(StatefulProcessor):
-    """Claims per day of one policy, as far back as a day to come can reach."""
+    """Claims per day of one policy, as far back as a day to come can reach.
+
+    Every call to the state is a round trip, so the days of a policy are one entry (day, claims, day, claims, ...): it is read
+    once and written once per batch.
+    """
 
     def __init__(self, days: int, at_least: int):
         self.span, self.at_least = days, at_least
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.days = handle.getMapState("days", "day INT", "claims BIGINT")
+        self.days = handle.getMapState("claims_by_day", "part INT", "claims ARRAY<BIGINT>")
 
     def close(self) -> None:
         pass
 
+    def _held(self) -> dict[int, int]:
+        return {int(day): int(n) for _, (flat,) in self.days.iterator() for day, n in zip(flat[::2], flat[1::2])}
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        held = {day: n for (day,), (n,) in self.days.iterator()}
+        held = self._held()
         changed = set()
         for part in rows:
             held[part.day] = held.get(part.day, 0) + part.n
             changed.add(part.day)
         oldest = timerValues.getCurrentWatermarkInMs() // _DAY_MS - self.span
-        for day in changed:
-            self.days.updateValue((day,), (held[day],))
-        for day in [d for d in held if d < oldest]:
-            if self.days.containsKey((day,)):
-                self.days.removeKey((day,))
+        self.days.updateValue((0,), ([x for day, n in held.items() if day >= oldest for x in (day, n)],))
         self.handle.registerTimer((max(held) + self.span + 1) * _DAY_MS)
         for day in sorted(held):
             if any(day - self.span <= c <= day for c in changed):
@@ -121,8 +124,8 @@ class RepeatProcessor(StatefulProcessor):
                     yield Row(policy_id=key[0], day=day, claims=held[day], claims_in_period=total)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        newest = max((day for (day,), _ in self.days.iterator()), default=None)
-        if newest is not None and expiredTimerInfo.getExpiryTimeInMs() >= (newest + self.span + 1) * _DAY_MS:
+        newest = max(self._held(), default=None)
+        if newest is None or expiredTimerInfo.getExpiryTimeInMs() >= (newest + self.span + 1) * _DAY_MS:
             self.days.clear()
         return iter(())
 
