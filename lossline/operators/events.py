@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lossline.config import StreamConfig
 from lossline.functions.ordering import ord_row_number, ord_running
+from lossline.session import materialise
 
 # Required fields, known coverages, length kept of a rejected text.
 STREAM_REQUIRED = ("claim_id", "policy_id", "estimated_amount", "coverage_type")
@@ -389,8 +390,13 @@ def late_arrivals(events: DataFrame, order: list[str], processed_at: Column | No
 
 
 def count_trigger(events: DataFrame, order: list[str], every: int) -> DataFrame:
-    """One global window that fires after every so many events: one row per firing."""
-    ranked = ord_row_number(events, order, "_n")
+    """One global window that fires after every so many events: one row per firing.
+
+    Only the amount and the order are dealt out, and they are written before: dealing by range reads its input twice, which
+    would parse the events twice.
+    """
+    narrow = materialise(events.select(*dict.fromkeys([*order, "estimated_amount"])), "counted")
+    ranked = ord_row_number(narrow, order, "_n")
     return (
         ranked.groupBy(F.floor((F.col("_n") - 1) / every).alias("firing"))
         .agg(*_summary())
