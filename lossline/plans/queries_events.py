@@ -309,11 +309,22 @@ def _streamed(d, stream, name, mode="append", keys=None):
 
 
 def _parted_stream(d, parts):
-    """The events as a stream of several batches: those of id 0 modulo parts first, then those of 1, and so on."""
-    folder, raw = d.scratch("parted"), d.source("events")
-    for part in range(parts):
-        raw.filter(F.col("event_id") % parts == part).coalesce(1).write.parquet(f"{folder}/part={part}")
-    stream = d.spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/*")
+    """The events as a stream of several batches: those of id 0 modulo parts first, then those of 1, and so on.
+
+    A batch is a fixed number of files, as many for every part, so its events are parsed in as many tasks. Dealing rows out
+    in turn fills every file unless the table is tiny; then a part is one file.
+    """
+    raw = d.source("events")
+    for files in (int(d.spark.conf.get("spark.sql.shuffle.partitions")), 1):
+        folder = d.scratch("parted")
+        written = set()
+        for part in range(parts):
+            path = f"{folder}/part={part}"
+            raw.filter(F.col("event_id") % parts == part).repartition(files).write.parquet(path)
+            written.add(len(d.spark.read.schema(raw.schema).parquet(path).inputFiles()))
+        if written == {files}:
+            break
+    stream = d.spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", files).parquet(f"{folder}/*")
     return ev.valid_events(ev.validate(projection.raw_claim_events(stream), _now()), CFG, _now())
 
 
