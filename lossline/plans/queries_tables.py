@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 
 from lossline.functions.columns import digest_key, surrogate_key
 from lossline.operators import patterns as p
+from lossline.operators.reports import rpt_loss_triangle
 from lossline.plans.catalog import add
 from lossline.plans.oracle import relation, sql, table
-from lossline.session import materialise
+from lossline.session import materialise, shuffles_dropped
 from lossline.sources import files, sinks
 from lossline.sources.schemas import RAW_SCHEMAS
 from lossline.streaming.sinks import append_batches
@@ -134,14 +135,21 @@ def _twice(d, df):
 
 
 def _exported(d):
-    """All exports of the warehouse; returns the rows of each. What several of them read is written once before."""
-    for shared in ("stg_claims", "fct_claims", "fct_claim_payments"):
-        d.models.keep(shared)
-    wanted = {n: d[n] for n in sinks.WAREHOUSE_EXPORTS}
-    paths = sinks.export_csv(wanted, d.scratch("export"))
+    """All exports of the warehouse; returns the rows of each. What several of them read is written once before.
+
+    Shuffle files go with the table they were for, and what still shuffles is exported first: the disk never holds more
+    than the tables and one shuffle.
+    """
+    with shuffles_dropped(d.spark):
+        for shared in ("stg_coverages", "stg_policies", "stg_claims", "fct_claims", "int_claim_payments_cumulative"):
+            d.models.keep(shared, compression="zstd")
+        wanted = {n: d[n] for n in reversed(sinks.WAREHOUSE_EXPORTS)}
+        # Dealt out by claim, payments are shuffled once for the sums by claim and the window over claims.
+        wanted["rpt_loss_triangle"] = rpt_loss_triangle(d["fct_claim_payments"].repartition("claim_id"))
+        paths = sinks.export_csv(wanted, d.scratch("export"))
     counted = [
-        d.spark.read.option("header", True).csv(path).agg(F.count("*").alias("row_count")).select(F.lit(n).alias("table_name"), "row_count")
-        for n, path in paths.items()
+        d.spark.read.option("header", True).csv(paths[n]).agg(F.count("*").alias("row_count")).select(F.lit(n).alias("table_name"), "row_count")
+        for n in sinks.WAREHOUSE_EXPORTS
     ]
     result = counted[0]
     for c in counted[1:]:
